@@ -128,7 +128,7 @@ _FIELDS = """
          THEN 'baños nulo o 0' END,
     CASE WHEN tipo_propiedad = 'Terreno' AND coalesce(total_area, 0) = 0 THEN 'm2_total nulo o 0' END"""
 VIEWS["step1"] = f"""
-SELECT *, list_filter([{_FIELDS}], x -> x IS NOT NULL) AS campos FROM ranked"""
+SELECT *, [x FOR x IN [{_FIELDS}] IF x IS NOT NULL] AS campos FROM ranked"""
 VIEWS["step2"] = """
 SELECT *, CASE WHEN rn > 1 THEN 'duplicado'
                WHEN latitude IS NULL OR longitude IS NULL THEN 'sin_coordenadas'
@@ -306,7 +306,7 @@ SELECT segment_id,
        list([lng, lat] ORDER BY pos) AS geom
 FROM pts GROUP BY segment_id"""
 VIEWS["named"] = """
-SELECT *, list_transform(regexp_split_to_array(name, '[,;]'), x -> lower(trim(x))) AS nombres
+SELECT *, [lower(trim(x)) FOR x IN regexp_split_to_array(name, '[,;]')] AS nombres
 FROM segs"""
 VIEWS["pieces"] = """
 SELECT segment_id, lng, lat, lead(lng) OVER w AS lng2, lead(lat) OVER w AS lat2
@@ -337,7 +337,7 @@ VIEWS["cruces"] = """
 SELECT s.segment_id, s.geom, s.nombres, r.*, c.x, c.y
 FROM named s JOIN centres c USING (segment_id)
 JOIN reglas r ON (CASE WHEN exacta THEN list_contains(nombres, lower(nombre_via))
-                       ELSE len(list_filter(nombres, n -> contains(n, lower(nombre_via)))) > 0 END)
+                       ELSE len([n FOR n IN nombres IF contains(n, lower(nombre_via))]) > 0 END)
              AND (lat0 IS NULL OR (c.y BETWEEN lat0 AND lat1 AND c.x BETWEEN lng0 AND lng1))"""
 VIEWS["clasificadas"] = """
 SELECT * FROM cruces
@@ -384,8 +384,11 @@ def _with(select: str) -> str:
                 need(VIEWS[name])
 
     need(select)
+    if not wanted:
+        return select
     views = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in VIEWS if n in wanted)
-    return f"WITH {views}\n{select}"
+    # A statement that begins with a comma brings views of its own.
+    return f"WITH {views}{select}" if select.lstrip().startswith(",") else f"WITH {views}\n{select}"
 
 
 _SUMMARY = """count(*) AS operaciones,
@@ -456,7 +459,8 @@ FROM extracto GROUP BY 1""",
     "market_time": """
 SELECT id_propiedad, cast(year_construction AS int) AS year_construction, antiguedad,
        tiempo_en_mercado, mes_publicacion, anio_publicacion, date_of_listing, sold_date FROM timed""",
-    "load_projection": _PROJECTION.format(dorm="1 AND 8", days="0 AND 1500"),
+    "load_projection": _PROJECTION.format(dorm="1 AND 8", days="0 AND 1500").replace(
+        "cast(sold_date AS date) AS", "cast(cast(sold_date AS date) AS varchar) AS"),
     "training_split": """
 SELECT tipo_transaccion, count(*) AS filas,
        count(*) FILTER (tipo_transaccion = 'Venta') AS ventas,
@@ -600,5 +604,4 @@ FROM typed WHERE precio_cierre IS NOT NULL GROUP BY 1""",
 }
 
 ORACLES: dict[str, str] = {
-    name: _with(sql).replace(")\n\n,", "),\n").replace(")\n, columnas", "),\ncolumnas")
-    for name, sql in _QUERIES.items()}
+    name: _with(sql) for name, sql in _QUERIES.items()}

@@ -174,7 +174,8 @@ def load_projection(spark, sf):
     zoned = zones.assign_nearest(timed, fx.centroids(spark, sf))
     priced = features.with_price_per_m2(zoned, fx.DEPARTMENT_SUBTYPES)
     limits = {**config.INTEGER_LIMITS, "dormitorios": (1, 8), "tiempo_en_mercado": (0, 1500)}
-    return features.load_projection(priced, limits=limits)
+    return features.load_projection(priced, limits=limits).withColumn(
+        "fecha_venta", F.col("fecha_venta").cast("string"))
 
 
 def training_split(spark, sf):
@@ -412,7 +413,8 @@ def etl_load(spark, sf):
     result = load(tables, fx.centroids(spark, sf), empty, fx.AS_OF, fx.CITIES, years=fx.YEARS,
                   rules=rules, department_subtypes=["SUB_AMERICA"])
     return rounded(result.analytics, 6, "ratio_activas_vendidas_zona",
-                   "diferencia_vs_promedio_zona").drop("fecha_carga", "fecha_actualizacion")
+                   "diferencia_vs_promedio_zona").drop("fecha_carga", "fecha_actualizacion").withColumn(
+        "fecha_venta", F.col("fecha_venta").cast("string"))
 
 
 def _empty_analytics(spark):

@@ -80,12 +80,12 @@ def _assign_global(points: DataFrame, centroids: DataFrame, lat: str, lng: str,
         return points.withColumn(out, F.lit(None).cast("int"))
     n_arrays = -(-total // CENTROIDS_PER_ARRAY)
     part = F.pmod(F.xxhash64("cluster_id", "centroide_lat", "centroide_lng"), F.lit(n_arrays))
-    nearest = []
-    for i in range(n_arrays):
-        array = _arrays(centroids.filter(part == i), F.lit(0)).select("_cents").scalar()
-        nearest.append(_nearest(F.col(lat), F.col(lng), array, min(total, CENTROIDS_PER_ARRAY)))
+    arrays = {f"_cents{i}": _arrays(centroids.filter(part == i)).scalar() for i in range(n_arrays)}
+    nearest = [_nearest(F.col(lat), F.col(lng), F.col(a), min(total, CENTROIDS_PER_ARRAY))
+               for a in arrays]
     best = F.least(*nearest) if n_arrays > 1 else nearest[0]
-    return points.withColumn(out, F.when(located, best["id"]))
+    return points.withColumns(arrays).select(*points.columns,
+                                             F.when(located, best["id"]).alias(out))
 
 
 def centroid_bbox(centroids: DataFrame, margin: float = config.BBOX_MARGIN) -> DataFrame:
