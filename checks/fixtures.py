@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from zonalis.config import City
+from zonalis.sources.session import small_checkpoint
 
 AS_OF = "2001-12-01"
 
@@ -171,7 +172,20 @@ FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
 
 
 def tables(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names}
+    read = {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names}
+    if "lineitem" in read:
+        read["lineitem"] = spread(read["lineitem"], "l_orderkey")
+    return read
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on a table that comes in one file with one row group.
+
+    Such a file is one task. A table in at least as many files as cores is left
+    as it is: reading it needs no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
 
 
 _LISTING_TABLES = ("lineitem", "orders", "part", "supplier", "nation", "region")
@@ -182,7 +196,9 @@ def listings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def centroids(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.sql(CENTROIDS, **tables(spark, folder, "lineitem", "supplier", "nation"))
+    """The zone table. It is a stored table to the operators, so it is computed once."""
+    return small_checkpoint(
+        spark.sql(CENTROIDS, **tables(spark, folder, "lineitem", "supplier", "nation")))
 
 
 def crm(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

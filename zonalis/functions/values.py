@@ -47,10 +47,16 @@ def bounded_int(c: Column, low: int, high: int) -> Column:
 
 
 def with_bounded_ints(df: DataFrame, limits: Mapping[str, tuple[int, int]]) -> DataFrame:
-    return df.withColumns({
-        name: bounded_int(F.col(name), low, high)
-        for name, (low, high) in limits.items() if name in df.columns
-    })
+    """Limit several columns; those that are whole numbers already need no conversion."""
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+    def limited(name: str, low: int, high: int) -> Column:
+        c = F.col(name)
+        if isinstance(df.schema[name].dataType, whole):
+            return F.when(c.between(low, high), c).cast("int")
+        return bounded_int(c, low, high)
+
+    return df.withColumns({n: limited(n, *span) for n, span in limits.items() if n in df.columns})
 
 
 def null_if_zero(c: Column) -> Column:

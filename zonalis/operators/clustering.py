@@ -40,22 +40,16 @@ def mean_places(points: DataFrame) -> DataFrame:
 
 
 def _with_nearest(spots: DataFrame, centroids: DataFrame, keys: Sequence[str],
-                  n_centroids: int, longest: int) -> DataFrame:
+                  n_centroids: int) -> DataFrame:
     """Every place with the nearest centroid of each run (``keys``) of its city."""
     arrays = broadcast_if_small(_arrays(centroids, *keys), at_most=n_centroids)
-    best = _nearest(F.col("lat"), F.col("lng"), F.col("_cents"), longest)
+    best = _nearest(F.col("lat"), F.col("lng"), F.col("_cents"))
     return (spots.join(arrays, "ciudad")
             .select(*keys, "lat", "lng", "peso", best.alias("_best"))
             .select(*keys, "lat", "lng", "peso",
                     F.col("_best.id").alias("cluster_id"), F.col("_best.d").alias("_d")))
 
 
-def _longest(centroids: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    sizes = centroids.groupBy(*keys).agg(F.count("*").alias("n"))
-    total, longest = sizes.agg(F.sum("n"), F.max("n")).first()
-    return total or 0, longest or 0
-
-
 def lloyd(spots: DataFrame, start: DataFrame, keys: Sequence[str] = ("ciudad",), *,
           iterations: int = 50, tolerance: float = 1e-4) -> DataFrame:
     """Move centroids to the mean of their places until they stay.
@@ -68,12 +62,12 @@ def lloyd(spots: DataFrame, start: DataFrame, keys: Sequence[str] = ("ciudad",),
     centroids = small_checkpoint(start.select(
         *keys, F.col("cluster_id").cast("int").alias("cluster_id"),
         *[F.col(c).cast("double").alias(c) for c in columns[-2:]]))
-    total, longest = _longest(centroids, keys)
+    total = centroids.count()
     if not total:
         return centroids
     for _ in range(iterations):
         weight = F.sum("peso")
-        moved = (_with_nearest(spots, centroids, keys, total, longest)
+        moved = (_with_nearest(spots, centroids, keys, total)
                  .groupBy(*keys, "cluster_id")
                  .agg(F.round(F.sum(F.col("peso") * F.col("lat")) / weight, CENTROID_DECIMALS).alias("_lat"),
                       F.round(F.sum(F.col("peso") * F.col("lng")) / weight, CENTROID_DECIMALS).alias("_lng")))
@@ -92,8 +86,7 @@ def lloyd(spots: DataFrame, start: DataFrame, keys: Sequence[str] = ("ciudad",),
 
 def inertia(spots: DataFrame, centroids: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Sum of squared distances to the nearest centroid, per run."""
-    total, longest = _longest(centroids, keys)
-    return (_with_nearest(spots, centroids, keys, total, max(longest, 1)).groupBy(*keys)
+    return (_with_nearest(spots, centroids, keys, centroids.count()).groupBy(*keys)
             .agg(F.sum(F.col("peso") * F.col("_d")).alias("inercia")))
 
 
@@ -158,10 +151,7 @@ def city_zones(points: DataFrame, cities: DataFrame, *, restarts: int = 10, seed
 
 def with_members(spots: DataFrame, centroids: DataFrame) -> DataFrame:
     """Centroids with the number of points next to each (0 if none)."""
-    total, longest = _longest(centroids, ["ciudad"])
-    if not total:
-        return centroids.withColumn("total_propiedades", F.lit(0))
-    members = (_with_nearest(spots, centroids, ["ciudad"], total, longest)
+    members = (_with_nearest(spots, centroids, ["ciudad"], centroids.count())
                .groupBy("ciudad", "cluster_id").agg(F.sum("peso").alias("_n")))
     return (centroids.join(members, ["ciudad", "cluster_id"], "left")
             .select("ciudad", "cluster_id", "centroide_lat", "centroide_lng",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from zonalis import config
 from zonalis.functions import dates, prices
-from zonalis.functions.values import missing_to_null, with_bounded_ints
+from zonalis.functions.values import with_bounded_ints
 
 DEPARTMENT_SUBTYPES = tuple(
     s for s, kind in config.SUBTYPE_TO_TYPE.items() if kind == config.DEPARTMENT)
@@ -56,11 +56,12 @@ def split_closing_price(df: DataFrame, other_is_rental: bool = True) -> DataFram
 
 def load_projection(df: DataFrame, columns: Sequence[str] = config.ANALYTICS_COLUMNS,
                     limits: Mapping[str, tuple[int, int]] = config.INTEGER_LIMITS) -> DataFrame:
-    """The rows as they are loaded: missing values, prices, dates, limits, columns in order.
+    """The rows as they are loaded: prices, dates, limits, columns in order.
 
-    A column the input lacks is null.
+    A column the input lacks is null. Missing values are null already: the
+    cleaning job sees to it at the source (``missing_to_null``).
     """
-    df = split_closing_price(missing_to_null(df)).withColumn(
+    df = split_closing_price(df).withColumn(
         "fecha_venta", F.to_date("sold_date"))
     if "numero_reducciones" not in df.columns:
         df = df.withColumn("numero_reducciones", F.lit(0))

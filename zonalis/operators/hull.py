@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HULL_PARTS = 32
+# Points a task holds before it reduces them to their hulls.
+BUFFERED_POINTS = 200_000
 
 
 def _chain(points: np.ndarray, eps: float) -> list[np.ndarray]:
@@ -32,13 +34,14 @@ def _chain(points: np.ndarray, eps: float) -> list[np.ndarray]:
 
 def hull_vertices(points: np.ndarray, eps: float = 1e-12) -> np.ndarray:
     """Vertices counter-clockwise from the lowest (x, y); ends only for points on a line."""
-    points = np.unique(points, axis=0)
-    if len(points) < 3:
-        return points
+    points = points[np.lexsort((points[:, 1], points[:, 0]))]
     # Only the lowest and highest y of every x can be a vertex.
     first = np.r_[True, points[1:, 0] != points[:-1, 0]]
     last = np.r_[first[1:], True]
     points = points[first | last]
+    points = points[np.r_[True, (points[1:] != points[:-1]).any(axis=1)]]
+    if len(points) < 3:
+        return points
     lower, upper = _chain(points, eps), _chain(points[::-1], eps)
     return np.array(lower[:-1] + upper[:-1])
 
@@ -63,15 +66,13 @@ def group_hulls(points: DataFrame, keys: Sequence[str], x: str, y: str,
         return pd.concat(found, ignore_index=True) if found else frame.iloc[:0]
 
     def per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+        held: list[pd.DataFrame] = []
         for batch in batches:
-            batch = reduced(batch)
-            held = batch if held is None else reduced(pd.concat([held, batch], ignore_index=True))
-        if held is not None and len(held):
-            yield held[columns]
-
-    def per_part(group: pd.DataFrame) -> pd.DataFrame:
-        return reduced(group[columns])[columns]
+            held.append(batch)
+            if sum(map(len, held)) > BUFFERED_POINTS:
+                held = [reduced(pd.concat(held, ignore_index=True))]
+        if held:
+            yield reduced(pd.concat(held, ignore_index=True))[columns]
 
     def per_group(group: pd.DataFrame) -> pd.DataFrame:
         v = hull_vertices(group[[x, y]].to_numpy())
@@ -81,7 +82,7 @@ def group_hulls(points: DataFrame, keys: Sequence[str], x: str, y: str,
 
     local = needed.mapInPandas(per_partition, schema)
     part = F.pmod(F.xxhash64(x, y), F.lit(parts))
-    halved = local.withColumn("_part", part).groupBy(*keys, "_part").applyInPandas(per_part, schema)
+    fewer = (local.repartition(parts, part)).mapInPandas(per_partition, schema)
     ddl = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in schema.fields[:-2]]
                     + ["orden int", f"{x} double", f"{y} double"])
-    return halved.groupBy(*keys).applyInPandas(per_group, ddl)
+    return fewer.groupBy(*keys).applyInPandas(per_group, ddl)

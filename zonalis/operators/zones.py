@@ -11,28 +11,19 @@ from zonalis import config
 from zonalis.functions.geo import squared_distance
 from zonalis.functions.prices import relative_difference
 from zonalis.functions.values import null_if_zero
-from zonalis.operators.lookups import BROADCAST_ROWS, broadcast_if_small, lookup_join
+from zonalis.operators.lookups import (BROADCAST_ROWS, broadcast_if_small, lookup_join,
+                                       row_count_up_to)
 
-# Up to this many centroids per city the comparison is unrolled into plain expressions.
-UNROLLED_CENTROIDS = 32
 # Without a city all centroids are compared, in arrays of at most this many.
 CENTROIDS_PER_ARRAY = 20_000
 # Without a broadcast the points of a city are spread over this many parts.
 CITY_PARTS = 64
 
 
-def _nearest(lat: Column, lng: Column, centroids: Column, longest: int) -> Column:
+def _nearest(lat: Column, lng: Column, centroids: Column) -> Column:
     """(d, id) of the nearest centroid in an array; ties go to the lowest id."""
-
-    def candidate(c: Column) -> Column:
-        return F.struct(squared_distance(lat, lng, c["lat"], c["lng"]).alias("d"),
-                        c["id"].alias("id"))
-
-    if longest > UNROLLED_CENTROIDS:
-        return F.array_min(F.transform(centroids, candidate))
-    slots = [F.get(centroids, F.lit(i)) for i in range(longest)]
-    found = [F.when(s.isNotNull(), candidate(s)) for s in slots]
-    return F.least(*found) if len(found) > 1 else found[0]
+    return F.array_min(F.transform(centroids, lambda c: F.struct(
+        squared_distance(lat, lng, c["lat"], c["lng"]).alias("d"), c["id"].alias("id"))))
 
 
 def _arrays(centroids: DataFrame, *keys: str | Column) -> DataFrame:
@@ -57,13 +48,10 @@ def assign_nearest(points: DataFrame, centroids: DataFrame, by: Sequence[str] =
     if not keys:
         return _assign_global(points, centroids, lat, lng, out, located)
 
-    per_key = centroids.groupBy(*keys).agg(F.count("*").alias("n"))
-    total, longest = per_key.agg(F.sum("n"), F.max("n")).first()
-    if not total:
-        return points.withColumn(out, F.lit(None).cast("int"))
+    total = row_count_up_to(centroids, bound)
     arrays = _arrays(centroids, *keys)
     best = F.when(located & F.col("_cents").isNotNull(),
-                  _nearest(F.col(lat), F.col(lng), F.col("_cents"), longest)["id"])
+                  _nearest(F.col(lat), F.col(lng), F.col("_cents"))["id"])
     if total <= bound:
         joined = points.join(broadcast_if_small(arrays, at_most=total, bound=bound), keys, "left")
     else:
@@ -81,8 +69,7 @@ def _assign_global(points: DataFrame, centroids: DataFrame, lat: str, lng: str,
     n_arrays = -(-total // CENTROIDS_PER_ARRAY)
     part = F.pmod(F.xxhash64("cluster_id", "centroide_lat", "centroide_lng"), F.lit(n_arrays))
     arrays = {f"_cents{i}": _arrays(centroids.filter(part == i)).scalar() for i in range(n_arrays)}
-    nearest = [_nearest(F.col(lat), F.col(lng), F.col(a), min(total, CENTROIDS_PER_ARRAY))
-               for a in arrays]
+    nearest = [_nearest(F.col(lat), F.col(lng), F.col(a)) for a in arrays]
     best = F.least(*nearest) if n_arrays > 1 else nearest[0]
     return points.withColumns(arrays).select(*points.columns,
                                              F.when(located, best["id"]).alias(out))
