@@ -22,7 +22,6 @@ from zonalis.plans.pricing import train_models
 from zonalis.plans.zone_setup import build_zones, elbow
 from zonalis.sources import crm
 from zonalis.sources.session import staged
-from zonalis.sources.sinks import write_training_set  # noqa: F401
 from zonalis.sources.tables import map_rows, zone_centroids
 
 RULES = CleaningRules(subtype_to_type=fx.SUBTYPE_TO_TYPE, floors=fx.FLOORS, sigmas=1.6)

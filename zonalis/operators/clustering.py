@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from zonalis import config
 from zonalis.functions.geo import squared_distance
-from zonalis.operators.lookups import BROADCAST_ROWS, broadcast_if_small
+from zonalis.operators.lookups import broadcast_if_small
 from zonalis.operators.zones import _arrays, _nearest
 from zonalis.sources.session import small_checkpoint, staged
 
@@ -91,7 +91,7 @@ def inertia(spots: DataFrame, centroids: DataFrame, keys: Sequence[str]) -> Data
 
 
 def random_start(spots: DataFrame, runs: DataFrame, restarts: int, seed: int,
-                 largest_k: int) -> DataFrame:
+                 largest_k: int, n_runs: int) -> DataFrame:
     """``k`` distinct places per run of ``runs`` (ciudad, k) and restart, drawn by hash.
 
     Every task keeps only its first ``largest_k`` places per city and restart
@@ -104,7 +104,7 @@ def random_start(spots: DataFrame, runs: DataFrame, restarts: int, seed: int,
     drawn = (spots.select("ciudad", "lat", "lng", tries.alias("intento"))
              .withColumn("_draw", draw).withColumn("_rank", rank)
              .filter(F.col("_rank") <= largest_k))
-    return (drawn.join(F.broadcast(runs), "ciudad").filter(F.col("_rank") <= F.col("k"))
+    return (drawn.join(broadcast_if_small(runs, at_most=n_runs), "ciudad").filter(F.col("_rank") <= F.col("k"))
             .select("ciudad", "k", "intento", (F.col("_rank") - 1).alias("cluster_id"),
                     F.col("lat").alias("centroide_lat"), F.col("lng").alias("centroide_lng")))
 
@@ -115,7 +115,7 @@ RUN = ("ciudad", "k", "intento")
 def _best_runs(spots: DataFrame, runs: DataFrame, *, restarts: int, seed: int, iterations: int,
                tolerance: float, largest_k: int) -> tuple[DataFrame, DataFrame]:
     """Centroids of all runs, and the best restart with its inertia per (ciudad, k)."""
-    start = random_start(spots, runs, restarts, seed, largest_k)
+    start = random_start(spots, runs, restarts, seed, largest_k, runs.count())
     final = lloyd(spots, start, RUN, iterations=iterations, tolerance=tolerance)
     best = (inertia(spots, final, RUN).groupBy("ciudad", "k")
             .agg(F.min(F.struct("inercia", "intento")).alias("_b"))
@@ -139,12 +139,12 @@ def city_zones(points: DataFrame, cities: DataFrame, *, restarts: int = 10, seed
     """
     spots = staged(places(points), "places")
     runs = small_checkpoint(city_sizes(spots, min_points).join(
-        F.broadcast(cities.select("ciudad", F.col("n_clusters").alias("k"))), "ciudad")
+        cities.select("ciudad", F.col("n_clusters").alias("k")), "ciudad")
         .select("ciudad", "k"))
     largest = runs.agg(F.max("k")).first()[0] or 1
     final, best = _best_runs(spots, runs, restarts=restarts, seed=seed, iterations=iterations,
                              tolerance=tolerance, largest_k=largest)
-    chosen = (final.join(F.broadcast(best.select(*RUN)), list(RUN))
+    chosen = (final.join(best.select(*RUN), list(RUN))
               .select("ciudad", "cluster_id", "centroide_lat", "centroide_lng"))
     return with_members(spots, small_checkpoint(chosen))
 
@@ -195,7 +195,7 @@ def zone_summary(zones: DataFrame, cities: DataFrame) -> DataFrame:
     """Properties, number of zones, tier and the largest recommended k per city."""
     per_city = zones.groupBy("ciudad").agg(F.sum("total_propiedades").alias("propiedades"),
                                            F.count("*").alias("clusters"))
-    return (per_city.join(F.broadcast(cities.select("ciudad", "tier", "n_clusters")), "ciudad")
+    return (per_city.join(cities.select("ciudad", "tier", "n_clusters"), "ciudad")
             .select("ciudad", "tier", "propiedades", "clusters",
                     largest_recommended_k(F.col("n_clusters"), F.col("propiedades"))
                     .alias("k_maximo")))

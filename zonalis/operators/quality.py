@@ -37,6 +37,11 @@ def reasons_if(*checks: tuple[Column, str]) -> Column:
 
 # --- duplicates -------------------------------------------------------------
 
+def _latest_first(df: DataFrame, key: str, latest_by: Sequence[str]) -> list[Column]:
+    ties = [c for c in df.columns if c != key and c not in latest_by]
+    return [F.col(c).desc_nulls_last() for c in (*latest_by, *ties)]
+
+
 def flag_last(df: DataFrame, key: str, latest_by: Sequence[str], flag: str = "es_ultimo", *,
               hot_rows: int = HOT_KEY_ROWS, splits: int = HOT_KEY_SPLITS) -> DataFrame:
     """Mark the latest row of every key.
@@ -46,8 +51,7 @@ def flag_last(df: DataFrame, key: str, latest_by: Sequence[str], flag: str = "es
     ``hot_rows`` rows are first reduced in ``splits`` parts, so that no task
     sorts a whole hot key.
     """
-    ties = [c for c in df.columns if c != key and c not in latest_by]
-    order = [F.col(c).desc_nulls_last() for c in (*latest_by, *ties)]
+    order = _latest_first(df, key, latest_by)
 
     def first_in(frame: DataFrame, *by: str) -> DataFrame:
         rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
@@ -69,8 +73,14 @@ def flag_last(df: DataFrame, key: str, latest_by: Sequence[str], flag: str = "es
     return calm.unionByName(beaten).unionByName(best)
 
 
-def keep_last(df: DataFrame, key: str, latest_by: Sequence[str], **hot) -> DataFrame:
-    return flag_last(df, key, latest_by, "_ultimo", **hot).filter("_ultimo").drop("_ultimo")
+def keep_last(df: DataFrame, key: str, latest_by: Sequence[str]) -> DataFrame:
+    """Only the latest row of every key (see ``flag_last``).
+
+    With the others not needed, every task keeps just its best row per key
+    before the shuffle, so hot keys need no splitting.
+    """
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(*_latest_first(df, key, latest_by)))
+    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
 # --- categories, areas, required fields -------------------------------------

@@ -45,9 +45,11 @@ def zone_statistics(status: DataFrame, prices: DataFrame,
                     centroids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Active/closed ratio and mean price per m² of every zone of every city."""
     box = zones.centroid_bbox(centroids)
+    n_zones = row_count_up_to(centroids, CENTROID_LIMIT)
+    known = n_zones if n_zones <= CENTROID_LIMIT else None
 
     def placed(points: DataFrame) -> DataFrame:
-        return zones.assign_nearest(crm.within_city_bbox(points, box), centroids)
+        return zones.assign_nearest(crm.within_city_bbox(points, box, known), centroids)
 
     return zones.active_closed_ratio(placed(status)), zones.mean_price_per_m2(placed(prices))
 

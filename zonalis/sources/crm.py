@@ -18,6 +18,7 @@ from zonalis import config
 from zonalis.config import City, Deal
 from zonalis.functions.dates import in_last_months, in_years
 from zonalis.functions.values import ratio
+from zonalis.operators.lookups import lookup_join
 from zonalis.sources.session import constant_frame
 
 TABLES = ("listings", "listing_transaction_types", "status_listings", "listings_information",
@@ -60,16 +61,16 @@ def deal_frame(spark: SparkSession, deals: Iterable[Deal]) -> DataFrame:
         closed_status string""")
 
 
-def within_city_bbox(df: DataFrame, cities: DataFrame, lat: str = "latitude",
-                     lng: str = "longitude") -> DataFrame:
+def within_city_bbox(df: DataFrame, boxes: DataFrame, at_most: int | None = None,
+                     lat: str = "latitude", lng: str = "longitude") -> DataFrame:
     """Rows inside the bounding box of their own city (inclusive).
 
-    ``cities`` is a configuration table or one row per zoned city, hence the broadcast.
+    ``at_most`` is a known bound on the rows of ``boxes``; without one they are counted.
     """
-    box = F.broadcast(cities.select("ciudad", "lat_min", "lat_max", "lng_min", "lng_max"))
     inside = (F.col(lat).between(F.col("lat_min"), F.col("lat_max"))
               & F.col(lng).between(F.col("lng_min"), F.col("lng_max")))
-    return df.join(box, "ciudad").filter(inside).select(*df.columns)
+    box = boxes.select("ciudad", "lat_min", "lat_max", "lng_min", "lng_max")
+    return lookup_join(df, box, "ciudad", "inner", at_most=at_most).filter(inside).select(*df.columns)
 
 
 def _located(t: Tables) -> DataFrame:
@@ -115,14 +116,17 @@ def extract_listings(t: Tables, cities: Iterable[City] = config.CITIES,
     deal = F.broadcast(deal_frame(spark, deals).select(
         F.col("deal_id").alias("transaction_type_id"), "tipo_transaccion"))
     sold = (_closed_transactions(t, deals, statuses).filter(in_years(F.col("sold_date"), years))
-            .select("listing_id", "transaction_type_id", "sold_date",
+            .select("listing_id", F.col("transaction_type_id").alias("sold_type_id"), "sold_date",
                     F.col("current_listing_price").alias("precio_cierre")))
-    placed = within_city_bbox(_located(t), city_frame(spark, cities))
+    # Written as a difference, the second condition is no join key: all big tables
+    # are then partitioned by listing alone, and none is shuffled twice.
+    same_type = (F.col("transaction_type_id") - F.col("sold_type_id")) == 0
+    placed = within_city_bbox(_located(t), city_frame(spark, cities), len(cities))
 
     info = t["listings_information"]
     rows = (
         t["listings"].filter(_any_deal(deals)).withColumnRenamed("id", "listing_id")
-        .join(sold, ["listing_id", "transaction_type_id"])
+        .join(sold, "listing_id").filter(same_type)
         .join(placed, "listing_id")
         .join(info, "listing_id", "left")
         .join(t["listing_prices"].select("listing_id", F.col("amount").alias("precio_publicacion")),
@@ -230,6 +234,7 @@ def zone_points(t: Tables, cities: Iterable[City] = config.CITIES,
             .join(_named(t, "listing_transaction_types", "transaction_type_id", "name",
                          "tipo_transaccion"), "transaction_type_id")
             .join(sold, "listing_id", "left_semi")
-            .join(within_city_bbox(_located(t), city_frame(spark, cities)), "listing_id")
-            .select(F.col("listing_id").cast("string").alias("id_propiedad"), "ciudad",
-                    "latitude", "longitude", "tipo_transaccion").distinct())
+            .join(within_city_bbox(_located(t), city_frame(spark, cities), len(cities)), "listing_id")
+            # Distinct on the join key: the rows are partitioned by it already.
+            .select("listing_id", "ciudad", "latitude", "longitude", "tipo_transaccion").distinct()
+            .withColumn("id_propiedad", F.col("listing_id").cast("string")).drop("listing_id"))
