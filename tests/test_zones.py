@@ -128,7 +128,7 @@ def test_zones_do_not_depend_on_partitions(spark, blobs):
 def test_lloyd_never_raises_inertia(spark, blobs):
     spots = clustering.places(blobs.filter("ciudad = 'A'"))
     start = clustering.random_start(
-        spots, spark.createDataFrame([("A", 4)], "ciudad string, k int"), 1, 1, 4, 1)
+        spots, spark.createDataFrame([("A", 4, 180)], "ciudad string, k int, lugares int"), 1, 1, 4, 1)
     pts = [(r["latitude"], r["longitude"]) for r in blobs.filter("ciudad = 'A'").collect()]
     seen = []
     for n in (0, 1, 2, 4, 8):
@@ -141,6 +141,18 @@ def test_lloyd_never_raises_inertia(spark, blobs):
     assert all(b <= a + 1e-6 for a, b in zip(seen, seen[1:]))
 
 
+def test_random_start_in_a_large_city(spark):
+    spots = spark.range(60_000).select(F.lit("A").alias("ciudad"), (F.col("id") * 1.0).alias("lat"),
+                                       F.lit(0.0).alias("lng"), F.lit(1).alias("peso"))
+    runs = spark.createDataFrame([("A", 3, 60_000), ("A", 5, 60_000)], "ciudad string, k int, lugares int")
+    got = clustering.random_start(spots, runs, 4, 9, 5, 2).collect()
+    every = clustering.random_start(spots, runs.withColumn("lugares", F.lit(1)), 4, 9, 5, 2).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, every))  # as if all places were ranked
+    assert len(got) == 4 * (3 + 5)
+    for i in range(4):
+        assert len({r["centroide_lat"] for r in got if r["intento"] == i and r["k"] == 5}) == 5
+
+
 def test_lloyd_keeps_a_centroid_without_places(spark):
     spots = spark.createDataFrame([("A", 0.0, 0.0, 2), ("A", 1.0, 0.0, 1)],
                                   "ciudad string, lat double, lng double, peso long")

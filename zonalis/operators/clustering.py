@@ -92,19 +92,26 @@ def inertia(spots: DataFrame, centroids: DataFrame, keys: Sequence[str]) -> Data
 
 def random_start(spots: DataFrame, runs: DataFrame, restarts: int, seed: int,
                  largest_k: int, n_runs: int) -> DataFrame:
-    """``k`` distinct places per run of ``runs`` (ciudad, k) and restart, drawn by hash.
+    """``k`` distinct places per run of ``runs`` (ciudad, k, lugares) and restart, drawn by hash.
 
-    Every task keeps only its first ``largest_k`` places per city and restart
-    before the shuffle.
+    The draw is uniform, so in a large city the first places are found among a
+    small share of it: about a thousand candidates per zone are ranked, not all
+    places. Every task ranks its own before the shuffle.
     """
     draw = F.xxhash64(F.lit(seed), "intento", "lat", "lng")
     tries = F.explode(F.sequence(F.lit(0), F.lit(restarts - 1)))
+    sizes = broadcast_if_small(runs.groupBy("ciudad").agg(F.max("lugares").alias("lugares")),
+                               at_most=n_runs)
+    share = F.pmod("_draw", F.lit(1 << 40)) / float(1 << 40)
     rank = F.row_number().over(
-        Window.partitionBy("ciudad", "intento").orderBy("_draw", "lat", "lng"))
-    drawn = (spots.select("ciudad", "lat", "lng", tries.alias("intento"))
-             .withColumn("_draw", draw).withColumn("_rank", rank)
-             .filter(F.col("_rank") <= largest_k))
-    return (drawn.join(broadcast_if_small(runs, at_most=n_runs), "ciudad").filter(F.col("_rank") <= F.col("k"))
+        Window.partitionBy("ciudad", "intento").orderBy("_share", "_draw", "lat", "lng"))
+    drawn = (spots.join(sizes, "ciudad")
+             .select("ciudad", "lat", "lng", "lugares", tries.alias("intento"))
+             .withColumn("_draw", draw).withColumn("_share", share)
+             .filter(F.col("_share") * F.col("lugares") <= 1000.0 * largest_k)
+             .withColumn("_rank", rank).filter(F.col("_rank") <= largest_k))
+    return (drawn.drop("lugares").join(broadcast_if_small(runs, at_most=n_runs), "ciudad")
+            .filter(F.col("_rank") <= F.col("k"))
             .select("ciudad", "k", "intento", (F.col("_rank") - 1).alias("cluster_id"),
                     F.col("lat").alias("centroide_lat"), F.col("lng").alias("centroide_lng")))
 
@@ -124,8 +131,9 @@ def _best_runs(spots: DataFrame, runs: DataFrame, *, restarts: int, seed: int, i
 
 
 def city_sizes(spots: DataFrame, min_points: int = config.MIN_ZONE_POINTS) -> DataFrame:
-    """Points per city; cities with too few are left out."""
-    return (spots.groupBy("ciudad").agg(F.sum("peso").alias("propiedades"))
+    """Points and distinct places per city; cities with too few points are left out."""
+    return (spots.groupBy("ciudad")
+            .agg(F.sum("peso").alias("propiedades"), F.count("*").alias("lugares"))
             .filter(F.col("propiedades") >= min_points))
 
 
@@ -140,7 +148,7 @@ def city_zones(points: DataFrame, cities: DataFrame, *, restarts: int = 10, seed
     spots = staged(places(points), "places")
     runs = small_checkpoint(city_sizes(spots, min_points).join(
         cities.select("ciudad", F.col("n_clusters").alias("k")), "ciudad")
-        .select("ciudad", "k"))
+        .select("ciudad", "k", "lugares"))
     largest = runs.agg(F.max("k")).first()[0] or 1
     final, best = _best_runs(spots, runs, restarts=restarts, seed=seed, iterations=iterations,
                              tolerance=tolerance, largest_k=largest)
@@ -166,7 +174,7 @@ def elbow_table(points: DataFrame, *, max_k: int = 20, restarts: int = 10, seed:
     limit = F.least(F.lit(max_k), F.floor(F.col("propiedades") / 10)).cast("int")
     runs = small_checkpoint(
         city_sizes(spots, min_points).filter(limit >= 2)
-        .select("ciudad", F.explode(F.sequence(F.lit(2), limit, F.lit(2))).alias("k")))
+        .select("ciudad", F.explode(F.sequence(F.lit(2), limit, F.lit(2))).alias("k"), "lugares"))
     _, best = _best_runs(spots, runs, restarts=restarts, seed=seed, iterations=iterations,
                          tolerance=tolerance, largest_k=max_k)
     return best.select("ciudad", "k", "inercia")
