@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from zonalis import config
 from zonalis.functions.geo import squared_distance
 from zonalis.operators.lookups import broadcast_if_small
-from zonalis.operators.zones import _arrays, _nearest
+from zonalis.operators.zones import _arrays, _distances, _nearest_id
 from zonalis.sources.session import small_checkpoint, staged
 
 # Centroids are kept with the decimals they are stored with: every partitioning
@@ -43,11 +43,11 @@ def _with_nearest(spots: DataFrame, centroids: DataFrame, keys: Sequence[str],
                   n_centroids: int) -> DataFrame:
     """Every place with the nearest centroid of each run (``keys``) of its city."""
     arrays = broadcast_if_small(_arrays(centroids, *keys), at_most=n_centroids)
-    best = _nearest(F.col("lat"), F.col("lng"), F.col("_cents"))
     return (spots.join(arrays, "ciudad")
-            .select(*keys, "lat", "lng", "peso", best.alias("_best"))
-            .select(*keys, "lat", "lng", "peso",
-                    F.col("_best.id").alias("cluster_id"), F.col("_best.d").alias("_d")))
+            .select(*keys, "lat", "lng", "peso", "_cents",
+                    _distances("lat", "lng", "_cents").alias("_all"))
+            .select(*keys, "lat", "lng", "peso", _nearest_id("_cents", "_all").alias("cluster_id"),
+                    F.array_min("_all").alias("_d")))
 
 
 def lloyd(spots: DataFrame, start: DataFrame, keys: Sequence[str] = ("ciudad",), *,
@@ -72,7 +72,7 @@ def lloyd(spots: DataFrame, start: DataFrame, keys: Sequence[str] = ("ciudad",),
                  .agg(F.round(F.sum(F.col("peso") * F.col("lat")) / weight, CENTROID_DECIMALS).alias("_lat"),
                       F.round(F.sum(F.col("peso") * F.col("lng")) / weight, CENTROID_DECIMALS).alias("_lng")))
         step = small_checkpoint(
-            centroids.join(moved, [*keys, "cluster_id"], "left")
+            centroids.join(broadcast_if_small(moved, at_most=total), [*keys, "cluster_id"], "left")
             .select(*columns, F.coalesce("_lat", "centroide_lat").alias("_lat"),
                     F.coalesce("_lng", "centroide_lng").alias("_lng")))
         shift = step.agg(F.max(squared_distance(
@@ -159,9 +159,10 @@ def city_zones(points: DataFrame, cities: DataFrame, *, restarts: int = 10, seed
 
 def with_members(spots: DataFrame, centroids: DataFrame) -> DataFrame:
     """Centroids with the number of points next to each (0 if none)."""
-    members = (_with_nearest(spots, centroids, ["ciudad"], centroids.count())
+    total = centroids.count()
+    members = (_with_nearest(spots, centroids, ["ciudad"], total)
                .groupBy("ciudad", "cluster_id").agg(F.sum("peso").alias("_n")))
-    return (centroids.join(members, ["ciudad", "cluster_id"], "left")
+    return (centroids.join(broadcast_if_small(members, at_most=total), ["ciudad", "cluster_id"], "left")
             .select("ciudad", "cluster_id", "centroide_lat", "centroide_lng",
                     F.coalesce("_n", F.lit(0)).cast("int").alias("total_propiedades")))
 

@@ -20,10 +20,16 @@ CENTROIDS_PER_ARRAY = 20_000
 CITY_PARTS = 64
 
 
-def _nearest(lat: Column, lng: Column, centroids: Column) -> Column:
-    """(d, id) of the nearest centroid in an array; ties go to the lowest id."""
-    return F.array_min(F.transform(centroids, lambda c: F.struct(
-        squared_distance(lat, lng, c["lat"], c["lng"]).alias("d"), c["id"].alias("id"))))
+def _distances(lat: str, lng: str, centroids: str) -> Column:
+    """Squared distances to all centroids of an array; null without coordinates."""
+    return F.transform(centroids, lambda c: squared_distance(
+        F.col(lat), F.col(lng), c["lat"], c["lng"]))
+
+
+def _nearest_id(centroids: str, distances: str) -> Column:
+    """The first of the nearest. The array is sorted by id, so ties go to the lowest id."""
+    position = F.array_position(distances, F.array_min(distances))
+    return F.get(centroids, (position - 1).cast("int"))["id"]
 
 
 def _arrays(centroids: DataFrame, *keys: str | Column) -> DataFrame:
@@ -44,35 +50,37 @@ def assign_nearest(points: DataFrame, centroids: DataFrame, by: Sequence[str] =
     with the points of a city spread over parts.
     """
     keys = list(by)
-    located = F.col(lat).isNotNull() & F.col(lng).isNotNull()
     if not keys:
-        return _assign_global(points, centroids, lat, lng, out, located)
+        return _assign_global(points, centroids, lat, lng, out)
 
     total = row_count_up_to(centroids, bound)
     arrays = _arrays(centroids, *keys)
-    best = F.when(located & F.col("_cents").isNotNull(),
-                  _nearest(F.col(lat), F.col(lng), F.col("_cents"))["id"])
     if total <= bound:
         joined = points.join(broadcast_if_small(arrays, at_most=total, bound=bound), keys, "left")
     else:
         part = F.pmod(F.xxhash64(lat, lng), F.lit(CITY_PARTS)).cast("int")
         spread = arrays.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(CITY_PARTS - 1))))
         joined = points.withColumn("_part", part).join(spread, [*keys, "_part"], "left")
-    return joined.select(*points.columns, best.alias(out))
+    measured = joined.withColumn("_d", _distances(lat, lng, "_cents"))
+    return measured.select(*points.columns, _nearest_id("_cents", "_d").alias(out))
 
 
-def _assign_global(points: DataFrame, centroids: DataFrame, lat: str, lng: str, out: str,
-                   located: Column) -> DataFrame:
+def _assign_global(points: DataFrame, centroids: DataFrame, lat: str, lng: str,
+                   out: str) -> DataFrame:
     total = centroids.count()
     if not total:
         return points.withColumn(out, F.lit(None).cast("int"))
-    n_arrays = -(-total // CENTROIDS_PER_ARRAY)
-    part = F.pmod(F.xxhash64("cluster_id", "centroide_lat", "centroide_lng"), F.lit(n_arrays))
-    arrays = {f"_cents{i}": _arrays(centroids.filter(part == i)).scalar() for i in range(n_arrays)}
-    nearest = [_nearest(F.col(lat), F.col(lng), F.col(a)) for a in arrays]
-    best = F.least(*nearest) if n_arrays > 1 else nearest[0]
-    return points.withColumns(arrays).select(*points.columns,
-                                             F.when(located, best["id"]).alias(out))
+    parts = range(-(-total // CENTROIDS_PER_ARRAY))
+    part = F.pmod(F.xxhash64("cluster_id", "centroide_lat", "centroide_lng"), F.lit(len(parts)))
+    arrays = {f"_cents{i}": _arrays(centroids.filter(part == i)).scalar() for i in parts}
+    measured = points.withColumns(arrays).withColumns(
+        {f"_d{i}": _distances(lat, lng, f"_cents{i}") for i in parts})
+    if len(parts) == 1:
+        return measured.select(*points.columns, _nearest_id("_cents0", "_d0").alias(out))
+    nearest = [F.when(F.array_min(f"_d{i}").isNotNull(), F.struct(
+        F.array_min(f"_d{i}").alias("d"), _nearest_id(f"_cents{i}", f"_d{i}").alias("id")))
+        for i in parts]
+    return measured.select(*points.columns, F.least(*nearest)["id"].alias(out))
 
 
 def centroid_bbox(centroids: DataFrame, margin: float = config.BBOX_MARGIN) -> DataFrame:
