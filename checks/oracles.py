@@ -115,9 +115,6 @@ _ORDER = """sold_date DESC NULLS LAST, precio_cierre DESC NULLS LAST, mlsid DESC
     year_construction DESC, precio_publicacion DESC, date_of_listing DESC,
     cancellation_date DESC NULLS LAST, contract_end_date DESC NULLS LAST, status DESC,
     latitude DESC NULLS LAST, longitude DESC NULLS LAST"""
-VIEWS["ranked"] = f"""
-SELECT *, row_number() OVER (PARTITION BY id_propiedad ORDER BY {_ORDER}) AS rn FROM typed"""
-
 _FIELDS = """
     CASE WHEN tipo_propiedad IN ('Casa', 'Departamento') AND coalesce(construction_area_m, 0) = 0
          THEN 'm2_construidos nulo o 0' END,
@@ -127,39 +124,48 @@ _FIELDS = """
     CASE WHEN tipo_propiedad IN ('Casa', 'Departamento') AND coalesce(banos, 0) = 0
          THEN 'baños nulo o 0' END,
     CASE WHEN tipo_propiedad = 'Terreno' AND coalesce(total_area, 0) = 0 THEN 'm2_total nulo o 0' END"""
-VIEWS["step1"] = f"""
-SELECT *, [x FOR x IN [{_FIELDS}] IF x IS NOT NULL] AS campos FROM ranked"""
-VIEWS["step2"] = """
+
+
+def _cleaning(p: str, typed: str, order: str) -> dict[str, str]:
+    """The cleaning steps over a typed view; the names of the views begin with ``p``."""
+
+    def spread(value: str, step: str, flag: str) -> str:
+        return f"""
+SELECT tipo_propiedad, tipo_transaccion, count({value}) AS n, avg({value}) AS m,
+       stddev_samp({value}) AS s
+FROM {step} WHERE {flag} = 'conservado' GROUP BY 1, 2"""
+
+    def outliers(value: str, step: str, before: str, stats: str, name: str, flag: str) -> str:
+        return f"""
+SELECT a.*, CASE WHEN {before} = 'conservado' AND b.n >= 4 AND b.s > 0
+                  AND ({value} < b.m - 1.6e0 * b.s OR {value} > b.m + 1.6e0 * b.s)
+                 THEN '{name}' ELSE {before} END AS {flag}
+FROM {step} a LEFT JOIN {stats} b
+  ON a.tipo_propiedad = b.tipo_propiedad AND a.tipo_transaccion = b.tipo_transaccion"""
+
+    return {
+        f"{p}ranked": f"""
+SELECT *, row_number() OVER (PARTITION BY id_propiedad ORDER BY {order}) AS rn FROM {typed}""",
+        f"{p}step1": f"""
+SELECT *, [x FOR x IN [{_FIELDS}] IF x IS NOT NULL] AS campos FROM {p}ranked""",
+        f"{p}step2": f"""
 SELECT *, CASE WHEN rn > 1 THEN 'duplicado'
                WHEN latitude IS NULL OR longitude IS NULL THEN 'sin_coordenadas'
                WHEN (tipo_propiedad IN ('Casa', 'Departamento') AND m2_construidos <= 0)
                  OR (tipo_propiedad = 'Terreno' AND m2_terreno <= 0) THEN 'm2_invalido'
                WHEN len(campos) > 0 THEN 'campos_requeridos' ELSE 'conservado' END AS p2
-FROM step1"""
-VIEWS["price_spread"] = """
-SELECT tipo_propiedad, tipo_transaccion, count(precio_cierre) AS n, avg(precio_cierre) AS m,
-       stddev_samp(precio_cierre) AS s
-FROM step2 WHERE p2 = 'conservado' GROUP BY 1, 2"""
-VIEWS["step3"] = """
-SELECT a.*, CASE WHEN p2 = 'conservado' AND n >= 4 AND s > 0
-                  AND (precio_cierre < m - 1.6e0 * s OR precio_cierre > m + 1.6e0 * s)
-                 THEN 'atipico_precio' ELSE p2 END AS p3
-FROM step2 a LEFT JOIN price_spread USING (tipo_propiedad, tipo_transaccion)"""
-VIEWS["area_spread"] = """
-SELECT tipo_propiedad, tipo_transaccion, count(m2_construidos) AS n, avg(m2_construidos) AS m,
-       stddev_samp(m2_construidos) AS s
-FROM step3 WHERE p3 = 'conservado' GROUP BY 1, 2"""
-VIEWS["step4"] = """
-SELECT a.*, CASE WHEN p3 = 'conservado' AND b.n >= 4 AND b.s > 0
-                  AND (m2_construidos < b.m - 1.6e0 * b.s OR m2_construidos > b.m + 1.6e0 * b.s)
-                 THEN 'atipico_m2' ELSE p3 END AS p4
-FROM step3 a LEFT JOIN area_spread b
-  ON a.tipo_propiedad = b.tipo_propiedad AND a.tipo_transaccion = b.tipo_transaccion"""
-VIEWS["step5"] = """
+FROM {p}step1""",
+        f"{p}price_spread": spread("precio_cierre", f"{p}step2", "p2"),
+        f"{p}step3": outliers("precio_cierre", f"{p}step2", "p2", f"{p}price_spread",
+                              "atipico_precio", "p3"),
+        f"{p}area_spread": spread("m2_construidos", f"{p}step3", "p3"),
+        f"{p}step4": outliers("m2_construidos", f"{p}step3", "p3", f"{p}area_spread",
+                              "atipico_m2", "p4"),
+        f"{p}step5": f"""
 SELECT a.*, CASE WHEN p4 = 'conservado' AND precio_publicacion < minimo THEN 'precio_minimo'
                  ELSE p4 END AS paso
-FROM step4 a LEFT JOIN minimos b ON tipo_transaccion = trans AND tipo_propiedad = b.tipo"""
-VIEWS["cleaned"] = """
+FROM {p}step4 a LEFT JOIN minimos b ON tipo_transaccion = trans AND tipo_propiedad = b.tipo""",
+        f"{p}cleaned": f"""
 SELECT *, CASE paso WHEN 'duplicado' THEN ['duplicado']
                     WHEN 'm2_invalido' THEN ['m2_construidos <= 0 o nulo']
                     WHEN 'campos_requeridos' THEN campos
@@ -168,7 +174,11 @@ SELECT *, CASE paso WHEN 'duplicado' THEN ['duplicado']
                     WHEN 'precio_minimo' THEN [CASE WHEN tipo_transaccion = 'Venta'
                         THEN 'precio menor mínimo venta' ELSE 'precio menor mínimo alquiler' END]
                     ELSE [] END AS motivos
-FROM step5"""
+FROM {p}step5""",
+    }
+
+
+VIEWS.update(_cleaning("", "typed", _ORDER))
 VIEWS["rejected"] = "SELECT * EXCLUDE (motivos), unnest(motivos) AS motivo FROM cleaned"
 
 # --- the listings database ----------------------------------------------------
@@ -197,31 +207,33 @@ SELECT ciudad, tipo_transaccion, cluster_zona,
        count(*) FILTER (status = 'Activa') * 1e0
            / greatest(count(*) FILTER (status <> 'Activa'), 1) AS ratio_activas_vendidas_zona
 FROM estado JOIN estado_zonas USING (ciudad, latitude, longitude) GROUP BY 1, 2, 3"""
-VIEWS["precios"] = """
+_PRICES = """
 SELECT ci.name AS ciudad, d.tipo_transaccion, loc.latitude, loc.longitude,
        d.price / li.construction_area_m AS precio_m2
 FROM (SELECT l.id, 'Venta' AS tipo_transaccion, lp.amount AS price
       FROM crm_listings l JOIN crm_listing_prices lp ON lp.listing_id = l.id
       JOIN crm_transactions t ON t.listing_id = l.id AND t.transaction_type_id = 1
            AND t.transaction_status_id IN (2, 5)
-      WHERE l.transaction_type_id = 1 AND t.sold_date >= timestamp '1999-12-01' AND lp.amount > 0
+      WHERE l.transaction_type_id = 1 AND t.sold_date >= timestamp '{since}' AND lp.amount > 0
       UNION ALL
       SELECT l.id, 'Alquiler', t.current_listing_price
       FROM crm_listings l
       JOIN crm_transactions t ON t.listing_id = l.id AND t.transaction_type_id = 2
            AND t.transaction_status_id IN (2, 5)
       WHERE l.transaction_type_id = 2 AND l.status_listing_id = 7
-        AND t.sold_date >= timestamp '1999-12-01' AND t.current_listing_price > 0) d
+        AND t.sold_date >= timestamp '{since}' AND t.current_listing_price > 0) d
 JOIN crm_listings_information li ON li.listing_id = d.id
 JOIN crm_locations loc ON loc.listing_id = d.id
 JOIN crm_cities ci ON loc.city_id = ci.id
 JOIN cajas b ON ci.name = b.ciudad
 WHERE li.construction_area_m > 0
   AND loc.latitude BETWEEN lat0 AND lat1 AND loc.longitude BETWEEN lng0 AND lng1"""
-VIEWS["precios_zonas"] = _nearest("precios")
-VIEWS["promedios"] = """
+for _p, _since in (("", "1999-12-01"), ("e_", "2001-06-01")):
+    VIEWS[f"{_p}precios"] = _PRICES.format(since=_since)
+    VIEWS[f"{_p}precios_zonas"] = _nearest(f"{_p}precios")
+    VIEWS[f"{_p}promedios"] = f"""
 SELECT ciudad, tipo_transaccion, cluster_zona, avg(precio_m2) AS promedio_m2_zona
-FROM precios JOIN precios_zonas USING (ciudad, latitude, longitude) GROUP BY 1, 2, 3"""
+FROM {_p}precios JOIN {_p}precios_zonas USING (ciudad, latitude, longitude) GROUP BY 1, 2, 3"""
 VIEWS["enriched"] = """
 SELECT p.*, coalesce(r.ratio_activas_vendidas_zona, 0e0) AS ratio_activas_vendidas_zona,
        CASE WHEN m.promedio_m2_zona > 0
@@ -276,6 +288,32 @@ SELECT ciudad, round(avg(latitude), 7) AS centroide_lat, round(avg(longitude), 7
        cast(count(*) AS int) AS total_propiedades, cast(0 AS int) AS cluster_id
 FROM puntos GROUP BY 1"""
 
+# --- the whole load -------------------------------------------------------------
+
+VIEWS["e_typed"] = """
+SELECT *, CASE WHEN tipo_propiedad IN ('Casa', 'Departamento') THEN construction_area_m
+               WHEN tipo_propiedad = 'Terreno' THEN 0e0 END AS m2_construidos,
+       CASE WHEN tipo_propiedad = 'Casa' THEN land_m2
+            WHEN tipo_propiedad = 'Departamento' AND land_m2 > 0 THEN land_m2
+            WHEN tipo_propiedad = 'Terreno' THEN total_area END AS m2_terreno
+FROM (SELECT *, CASE subtipo_original WHEN 'SUB_AFRICA' THEN 'Casa'
+                     WHEN 'SUB_AMERICA' THEN 'Departamento' WHEN 'SUB_ASIA' THEN 'Terreno'
+                     ELSE 'Otro' END AS tipo_propiedad FROM extracto)"""
+VIEWS.update(_cleaning("e_", "e_typed", ", ".join(f"{c} DESC NULLS LAST" for c in (
+    "sold_date precio_cierre mlsid date_of_listing cancellation_date contract_end_date segmento "
+    "transaction_type status subtipo_original categoria_propiedad estado_propiedad ciudad "
+    "construction_area_m total_area land_m2 dormitorios banos estacionamientos year_construction "
+    "precio_publicacion latitude longitude tipo_transaccion").split())))
+VIEWS["e_places"] = _nearest("extracto")
+VIEWS["e_loaded"] = """
+SELECT k.*, z.cluster_zona,
+       coalesce(nullif(precio_cierre, 0), precio_publicacion)
+         / nullif(CASE WHEN subtipo_original = 'SUB_AMERICA' THEN construction_area_m
+                       ELSE total_area END, 0) AS precio_m2
+FROM e_cleaned k LEFT JOIN e_places z
+  ON k.ciudad = z.ciudad AND k.latitude = z.latitude AND k.longitude = z.longitude
+WHERE paso = 'conservado'"""
+
 # --- zone iterations -----------------------------------------------------------
 
 VIEWS["sitios"] = """
@@ -530,6 +568,27 @@ SELECT id_propiedad, ciudad, tipo_transaccion,
             WHEN date_of_listing >= timestamp '1999-01-01' THEN 'actualizado'
             ELSE 'sin_cambio' END AS accion
 FROM ranked WHERE rn = 1""",
+    "etl_load": """
+SELECT id_propiedad, mlsid, tipo_propiedad, subtipo_original, categoria_propiedad, estado_propiedad,
+       segmento, l.tipo_transaccion, latitude, longitude, l.cluster_zona, l.ciudad,
+       m2_construidos, m2_terreno, dormitorios, banos, estacionamientos,
+       cast(greatest(2001 - year_construction, 0) AS int) AS antiguedad, precio_publicacion,
+       CASE WHEN l.tipo_transaccion = 'Venta' THEN precio_cierre END AS precio_venta,
+       CASE WHEN l.tipo_transaccion = 'Alquiler' THEN precio_cierre END AS precio_alquiler_mes,
+       precio_m2,
+       cast(greatest(date_sub('day', date_of_listing, sold_date), 0) AS int) AS tiempo_en_mercado,
+       cast(0 AS int) AS numero_reducciones,
+       round(CASE WHEN promedio_m2_zona > 0 THEN (precio_m2 - promedio_m2_zona) / promedio_m2_zona
+                  ELSE 0e0 END, 6) AS diferencia_vs_promedio_zona,
+       round(coalesce(r.ratio_activas_vendidas_zona, 0e0), 6) AS ratio_activas_vendidas_zona,
+       cast(month(date_of_listing) AS int) AS mes_publicacion,
+       cast(year(date_of_listing) AS int) AS anio_publicacion,
+       cast(cast(sold_date AS date) AS varchar) AS fecha_venta, status, transaction_type
+FROM e_loaded l
+LEFT JOIN ratios r ON l.ciudad = r.ciudad AND l.tipo_transaccion = r.tipo_transaccion
+                  AND l.cluster_zona = r.cluster_zona
+LEFT JOIN e_promedios m ON l.ciudad = m.ciudad AND l.tipo_transaccion = m.tipo_transaccion
+                       AND l.cluster_zona = m.cluster_zona""",
     "price_records": "SELECT * FROM records",
     "zone_price_summary": """
 SELECT r.ciudad, r.cluster, operaciones, precio_promedio, precio_m2_promedio,
