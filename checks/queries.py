@@ -18,7 +18,7 @@ from zonalis.operators import upsert as up
 from zonalis.operators import zones
 from zonalis.plans.cleaning import Cleaned, CleaningRules, clean
 from zonalis.plans.etl import derive_features, load, zone_statistics
-from zonalis.plans.pricing import train_models
+from zonalis.plans.pricing import score_requests, train_models
 from zonalis.plans.zone_setup import build_zones, elbow
 from zonalis.sources import crm
 from zonalis.sources.session import staged
@@ -368,15 +368,21 @@ def segment_name_count(spark, sf):
 
 # --- price models -----------------------------------------------------------
 
-def _training(spark, sf):
+URBAN_LIMIT = 60.0
+
+
+def _sold(spark, sf):
     timed = features.with_market_time(_typed(fx.listings(spark, sf)), fx.AS_OF)
     zoned = zones.assign_nearest(timed, fx.centroids(spark, sf))
     priced = features.with_price_per_m2(zoned, fx.DEPARTMENT_SUBTYPES)
     # The zone features of the fixture: activity by lines, difference by price.
-    sold = features.training_rows(priced).withColumns({
+    return features.training_rows(priced).withColumns({
         "ratio_activas_vendidas_zona": F.col("estacionamientos") * 2.0,
         "diferencia_vs_promedio_zona": F.col("precio_m2") / 1000 - 2})
-    return model.training_frame(sold, limit=60.0)
+
+
+def _training(spark, sf):
+    return model.training_frame(_sold(spark, sf), limit=URBAN_LIMIT)
 
 
 def impute_clamp(spark, sf):
@@ -395,13 +401,13 @@ def model_type_counts(spark, sf):
 
 
 def price_model_score(spark, sf):
-    rows = staged(_training(spark, sf), "training")
-    trained = train_models(rows, fx.AS_OF, trees={**config.TREES, "maxIter": 3, "maxDepth": 4})
-    centroids = fx.centroids(spark, sf)
-    prepared = model.prepare_requests(
-        _typed(fx.listings(spark, sf)).withColumn("mes_publicacion", F.month("date_of_listing")),
-        centroids, zones.zone_feature_means(rows))
-    return model.score(prepared, trained.models)
+    sold = staged(_sold(spark, sf), "sold")
+    trained = train_models(sold, fx.AS_OF, URBAN_LIMIT,
+                           trees={**config.TREES, "maxIter": 3, "maxDepth": 4})
+    requests = _typed(fx.listings(spark, sf)).withColumn(
+        "mes_publicacion", F.month("date_of_listing"))
+    return score_requests(requests, trained.models, fx.centroids(spark, sf), sold,
+                          urban_limit=URBAN_LIMIT)
 
 
 def etl_load(spark, sf):

@@ -190,16 +190,19 @@ def reject_rows(df: DataFrame, reasons: str) -> DataFrame:
 
 
 def load_violations(df: DataFrame, not_null: Iterable[str] = config.ANALYTICS_NOT_NULL,
-                    unique: str = config.ANALYTICS_KEY, reasons: str = "violaciones",
+                    unique: str | None = config.ANALYTICS_KEY, reasons: str = "violaciones",
                     **hot) -> DataFrame:
     """Reasons why a row cannot be loaded: a null where none may be, a key already taken.
 
-    Of the rows sharing a key the first by all columns is accepted.
+    Of the complete rows sharing a key one is accepted. ``unique=None`` leaves
+    the key unchecked, for rows that are known to have one each: no shuffle.
     """
     not_null = tuple(not_null)
+    checks = [(F.col(c).isNull(), f"{c} nulo") for c in not_null]
+    if unique is None:
+        return df.withColumn(reasons, reasons_if(*checks))
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in not_null])
     # Incomplete rows take no key: they are ranked behind all complete ones.
     ranked = flag_last(df.withColumn("_complete", complete), unique, ["_complete"], "_first", **hot)
-    checks = [(F.col(c).isNull(), f"{c} nulo") for c in not_null]
     checks.append((F.col(unique).isNotNull() & complete & ~F.col("_first"), f"{unique} repetido"))
     return ranked.withColumn(reasons, reasons_if(*checks)).select(*df.columns, reasons)

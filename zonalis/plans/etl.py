@@ -80,7 +80,8 @@ def load(tables: crm.Tables, centroids: DataFrame, target: DataFrame, as_of: str
     featured = derive_features(cleaned.kept, centroids, ratios, means, as_of, len(deals),
                                department_subtypes)
     rows = features.load_projection(featured)
-    checked = staged(load_violations(rows), "load")
+    # The cleaning job leaves one row per property.
+    checked = staged(load_violations(rows, unique=None), "load")
     accepted = checked.filter(F.size("violaciones") == 0).drop("violaciones")
     referenced = set_null_without_parent(accepted, centroids)
     merged = staged(merge(target, referenced, as_of=as_of), "merge")

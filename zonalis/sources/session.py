@@ -39,14 +39,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write a frame once to the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and later passes read only the
-    columns they need.
+    columns they need. With ``by`` they also read only the values of that
+    column they ask for.
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/stage/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
