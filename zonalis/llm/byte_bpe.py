@@ -26,7 +26,7 @@ DECODE_LEAF = 4096
 OUT_BYTES = 8 << 20
 
 # What Unicode calls White_Space, and the letters and numbers up to U+00FF.
-SPACES = r"\t-\r \x85\xa0  -     　"
+SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LATIN = {r"\p{L}": "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"\p{N}": "0-9\xb2\xb3\xb9\xbc-\xbe"}
 
 
