@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.llm import byte_bpe, hyper_language
+from zonalis.llm import byte_bpe, hyper_language, line_chunks
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string")) % 3 == 1
 
 
+def op2_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return line_chunks.dedup_line_chunks(table(spark, folder, "documents"))
+
+
 def op6_hyper_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     profiles = hyper_language.fit_prototypes(docs.filter(~F.coalesce(held_out(), F.lit(True))))
@@ -37,8 +41,29 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_line_chunks": op2_line_chunks,
     "op6_hyper_language": op6_hyper_language,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_line_chunks": f"""
+WITH lines AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+hashed AS (SELECT *, list_transform(ls, lambda x: CAST('0x' || substr(md5(x), 1, 8) AS BIGINT)
+                                                  % {line_chunks.MODULUS}) AS hs FROM lines),
+cut AS (SELECT doc_id, ls, list_filter(range(1, len(hs) + 1), lambda i: i = len(hs) OR
+          (((CASE WHEN i > 1 THEN hs[i - 1] ELSE 0 END) * {line_chunks.BASE} + hs[i]) % {line_chunks.MODULUS})
+          % {line_chunks.DIVISOR} = 0) AS ends FROM hashed),
+bounds AS (SELECT doc_id, ls, unnest(ends) AS e, unnest(list_concat([0], ends[:-2])) AS s,
+                  unnest(range(0, len(ends))) AS no FROM cut),
+chunks AS (SELECT doc_id, no, e - s AS n, array_to_string(ls[s + 1:e], chr(10)) AS chunk FROM bounds),
+first AS (SELECT chunk, min({{'d': doc_id, 'n': no}}) AS f FROM chunks WHERE n >= {line_chunks.MIN_LINES}
+          GROUP BY chunk),
+marked AS (SELECT c.*, coalesce(c.n >= {line_chunks.MIN_LINES} AND {{'d': c.doc_id, 'n': c.no}} <> f.f, false) AS gone
+           FROM chunks c LEFT JOIN first f ON c.chunk = f.chunk AND c.n >= {line_chunks.MIN_LINES}),
+kept AS (SELECT doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY no) FILTER (NOT gone), '') AS kept_text,
+                count(*) FILTER (gone) AS n_removed, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS removed_lines
+         FROM marked GROUP BY doc_id)
+SELECT d.doc_id, k.kept_text, coalesce(k.n_removed, 0) AS n_removed, coalesce(k.removed_lines, 0) AS removed_lines
+FROM documents d LEFT JOIN kept k USING (doc_id)""",
+}
