@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.llm import byte_bpe, hyper_language, line_chunks
+from zonalis.llm import byte_bpe, hyper_language, line_chunks, trie_join
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op6_hyper_language(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op9_trie_join(spark: SparkSession, folder: str) -> DataFrame:
+    return trie_join.ngram_components(table(spark, folder, "documents"))
+
+
 def bpe_digests(docs: DataFrame) -> DataFrame:
     encoded = byte_bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return encoded.select(
@@ -43,6 +47,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op2_line_chunks": op2_line_chunks,
     "op6_hyper_language": op6_hyper_language,
+    "op9_trie_join": op9_trie_join,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
