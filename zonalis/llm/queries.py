@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.llm import byte_bpe, hyper_language, line_chunks, trie_join
+from zonalis.llm import byte_bpe, hyper_language, line_chunks, suffix_repeats, trie_join
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,12 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string")) % 3 == 1
 
 
+def op1_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_repeats.repeated_spans(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return line_chunks.dedup_line_chunks(table(spark, folder, "documents"))
 
@@ -45,6 +51,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_repeats": op1_suffix_repeats,
     "op2_line_chunks": op2_line_chunks,
     "op6_hyper_language": op6_hyper_language,
     "op9_trie_join": op9_trie_join,
