@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.llm import byte_bpe, hyper_language, line_chunks, suffix_repeats, trie_join
+from zonalis.llm import bm25_leaks, byte_bpe, hyper_language, line_chunks, suffix_repeats, trie_join, warc
+from zonalis.sources.session import shared_folder
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,6 +31,21 @@ def op2_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return line_chunks.dedup_line_chunks(table(spark, folder, "documents"))
 
 
+def op3_bm25_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return bm25_leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    place = f"{shared_folder(spark).rstrip('/')}/archives-{uuid.uuid4().hex}"
+    warc.write_arc(table(spark, folder, "pages"), f"{place}/arc")
+    warc.write_warc(warc.mark_revisits(warc.convert_arc(spark, f"{place}/arc")), f"{place}/warc")
+    records = warc.load_warc(spark, f"{place}/warc")
+    responses = records.filter("record_type = 'response'").select(
+        F.col("record_id").alias("refers_to_record"), F.col("page_id").alias("refers_to")).distinct()
+    return records.join(responses, "refers_to_record", "left").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_hyper_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     profiles = hyper_language.fit_prototypes(docs.filter(~F.coalesce(held_out(), F.lit(True))))
@@ -53,6 +71,8 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_repeats": op1_suffix_repeats,
     "op2_line_chunks": op2_line_chunks,
+    "op3_bm25_leaks": op3_bm25_leaks,
+    "op4_warc": op4_warc,
     "op6_hyper_language": op6_hyper_language,
     "op9_trie_join": op9_trie_join,
     "op10_byte_bpe": op10_byte_bpe,
@@ -78,4 +98,11 @@ kept AS (SELECT doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY no) FILTER (
          FROM marked GROUP BY doc_id)
 SELECT d.doc_id, k.kept_text, coalesce(k.n_removed, 0) AS n_removed, coalesce(k.removed_lines, 0) AS removed_lines
 FROM documents d LEFT JOIN kept k USING (doc_id)""",
+    "op4_warc": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+kept AS (SELECT html, max(page_id) AS keeper FROM p WHERE strlen(html) >= {warc.REVISIT_BYTES} GROUP BY html)
+SELECT page_id, strlen(p.html)::BIGINT AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+FROM p LEFT JOIN kept ON p.html = kept.html""",
 }
