@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,14 +26,49 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def squeeze(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def expand(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def in_blocks(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """(block, id, text) and the number of blocks, which grows with the input's partitions.
+    """(block, packed): the documents by block, compressed for the shuffle; and the number of blocks.
 
-    A block is what one task holds at a time. Copies of a text under different ids spread over all blocks.
+    A block is what one task holds at a time; their number grows with the input's partitions. Copies of a text under
+    different ids spread over all blocks. ``documents_of`` unpacks the rows of a block.
     """
     n = BLOCKS_PER_PARTITION * max(1, df.rdd.getNumPartitions())
     block = F.pmod(F.xxhash64(id_col, text_col), F.lit(n)).cast("int")
-    return df.select(block.alias("block"), F.col(id_col).alias("id"), F.col(text_col).alias("text")), n
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blocks = batch.column(0).to_numpy()
+            order = np.argsort(blocks, kind="stable")
+            batch, blocks = batch.take(pa.array(order)), blocks[order]
+            starts = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1]))[:len(blocks)])
+            rows = []
+            for start, end in zip(starts, np.append(starts[1:], len(blocks)), strict=True):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, PACKED_DOCS) as out:
+                    out.write_table(pa.table(batch.slice(start, end - start).columns[1:], PACKED_DOCS))
+                rows.append(squeeze(sink.getvalue()))
+            yield pa.RecordBatch.from_arrays([pa.array(blocks[starts], pa.int32()), pa.array(rows, pa.binary())],
+                                             names=["block", "packed"])
+
+    return df.select(block, F.col(id_col).cast("long"), text_col).mapInArrow(packed, "block int, packed binary"), n
+
+
+PACKED_DOCS = pa.schema([("id", pa.int64()), ("text", pa.string())])
+
+
+def documents_of(table: pa.Table) -> tuple[list[int | None], list[str | None]]:
+    """Ids and texts of a block."""
+    tables = [pa.ipc.open_stream(expand(x.as_py())).read_all() for x in table["packed"]]
+    whole = pa.concat_tables([PACKED_DOCS.empty_table(), *tables])
+    return whole["id"].to_pylist(), whole["text"].to_pylist()
 
 
 def pack(block: int, hashes: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:

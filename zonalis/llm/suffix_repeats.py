@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonalis.llm.common import PACKED, Totals, bucket_of, count_hashes, in_blocks, mix, pack
+from zonalis.llm.common import PACKED, Totals, bucket_of, count_hashes, documents_of, expand, in_blocks, mix, pack, squeeze
 
 LENGTH = 50
 GRAM = 32
@@ -193,16 +193,16 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     docs, n = in_blocks(rows, "id", "text")
 
-    def known(table: pa.Table) -> tuple[np.ndarray, Runs]:
-        ids = table["id"].to_pylist()
-        runs = Runs(table["text"].to_pylist())
+    def known(table: pa.Table) -> tuple[np.ndarray, Runs, list[int | None]]:
+        ids, texts = documents_of(table)
+        runs = Runs(texts)
         missing = np.array([i is None for i in ids], bool)
         if missing.any():
             runs.keep(~missing[runs.doc])
-        return np.array([i or 0 for i in ids], np.int64), runs
+        return np.array([i or 0 for i in ids], np.int64), runs, ids
 
     def grams(table: pa.Table) -> pa.Table:
-        ids, runs = known(table)
+        ids, runs, _ = known(table)
         order = np.lexsort((ids[runs.doc], runs.gram))
         gram, doc = runs.gram[order], ids[runs.doc][order]
         new = np.concatenate(([True], (gram[1:] != gram[:-1]) | (doc[1:] != doc[:-1])))[:len(gram)]
@@ -212,7 +212,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def windows(key, left: pa.Table, right: pa.Table) -> pa.Table:
         out: dict[str, list] = {"bucket": [], "block": [], "rows": [], "low": [], "high": []}
         if left.num_rows and right.num_rows:
-            ids, runs = known(left)
+            ids, runs, _ = known(left)
             runs.keep(Totals(right, n).of(runs.gram) > 1)
             around = runs.rows()
             _, first, at = np.unique(row_hashes(around), return_index=True, return_inverse=True)
@@ -224,16 +224,16 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 mine = bucket == b
                 out["bucket"].append(b)
                 out["block"].append(key[0].as_py())
-                out["rows"].append(around[first[mine]].tobytes())
-                out["low"].append(low[mine].tobytes())
-                out["high"].append(high[mine].tobytes())
+                out["rows"].append(squeeze(around[first[mine]].tobytes()))
+                out["low"].append(squeeze(low[mine].tobytes()))
+                out["high"].append(squeeze((high - low)[mine].tobytes()))
         types = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
         return pa.table([pa.array(v, t) for v, t in zip(out.values(), types, strict=True)], names=list(out))
 
     def compared(table: pa.Table) -> pa.Table:
-        sent = [np.frombuffer(r.as_py(), np.uint8).reshape(-1, ROW) for r in table["rows"]]
-        low = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table["low"]])
-        high = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table["high"]])
+        sent = [np.frombuffer(expand(r.as_py()), np.uint8).reshape(-1, ROW) for r in table["rows"]]
+        low = np.concatenate([np.frombuffer(expand(x.as_py()), np.int64) for x in table["low"]])
+        high = low + np.concatenate([np.frombuffer(expand(x.as_py()), np.int64) for x in table["high"]])
         block = np.repeat(table["block"].to_numpy(), [len(s) for s in sent])
         around = np.concatenate(sent)
         hashes = row_hashes(around)
@@ -249,11 +249,11 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         _, end = np.nonzero((best < NONE) & (edge[:, 2:] != best))
         out = {"block": [], "found": []}
         found = np.empty(len(row), FOUND)
-        found["hash"], found["gram"], found["low"] = hashes[row], gram[row], best[row, start]
+        found["hash"], found["gram"], found["low"] = hashes[row], gram[row] >> np.uint64(32), best[row, start]
         found["from"], found["to"] = start, end
         for b in np.unique(block[row]).tolist():
             out["block"].append(b)
-            out["found"].append(found[block[row] == b].tobytes())
+            out["found"].append(squeeze(found[block[row] == b].tobytes()))
         return pa.table([pa.array(out["block"], pa.int32()), pa.array(out["found"], pa.binary())],
                         names=["block", "found"])
 
@@ -262,12 +262,12 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         spans_type = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
         if not left.num_rows:
             return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), spans_type, pa.binary())], names=names)
-        found = np.concatenate([np.empty(0, FOUND), *(np.frombuffer(x.as_py(), FOUND) for x in right["found"])])
+        found = np.concatenate([np.empty(0, FOUND), *(np.frombuffer(expand(x.as_py()), FOUND) for x in right["found"])])
         found = found[np.argsort(found["hash"], kind="stable")]
-        ids, runs = known(left)
+        ids, runs, given = known(left)
         gone = np.zeros(len(runs.data), np.int32)
         if len(found):
-            runs.keep(np.isin(runs.gram, found["gram"]))
+            runs.keep(np.isin((runs.gram >> np.uint64(32)).astype("<u4"), found["gram"]))
             hashes = row_hashes(runs.rows())
             start = np.searchsorted(found["hash"], hashes)
             count = np.searchsorted(found["hash"], hashes, "right") - start
@@ -285,7 +285,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             spans.append([{"start": a, "length": b - a} for a, b in zip(edges[::2], edges[1::2], strict=True)])
             kept.append(runs.data[start:start + size][~mine].tobytes() if edges
                         else runs.data[start:start + size].tobytes())
-        return pa.table([left["id"], pa.array(runs.sizes), pa.array(spans, spans_type), pa.array(kept, pa.binary())],
+        return pa.table([pa.array(given, pa.int64()), pa.array(runs.sizes), pa.array(spans, spans_type), pa.array(kept, pa.binary())],
                         names=names)
 
     blocks = docs.groupBy("block")
@@ -298,4 +298,4 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return out.withColumnRenamed("id", id_col)
 
 
-FOUND = np.dtype([("hash", "<u8"), ("gram", "<u8"), ("low", "<i8"), ("from", "u1"), ("to", "u1")])
+FOUND = np.dtype([("hash", "<u8"), ("gram", "<u4"), ("low", "<i8"), ("from", "u1"), ("to", "u1")])

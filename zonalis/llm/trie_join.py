@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonalis.llm.common import PACKED, Totals, connected_components, count_hashes, in_blocks, mix, pack
+from zonalis.llm.common import PACKED, Totals, connected_components, count_hashes, documents_of, in_blocks, mix, pack
 from zonalis.sources.session import staged
 
 WORDS = 5
@@ -221,15 +221,15 @@ def ngram_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return s[:max(may_miss(len(s), need) + 1, int(len(s) * EARLY))]
 
     def hashes(table: pa.Table) -> pa.Table:
-        kept = {s.tobytes(): s for s in shingle_sets(table["text"].to_pylist(), words) if len(s)}
+        kept = {s.tobytes(): s for s in shingle_sets(documents_of(table)[1], words) if len(s)}
         parts = [early(s) for s in kept.values()]
         distinct, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *parts]), return_counts=True)
         return pa.Table.from_batches([pack(table["block"][0].as_py(), distinct, counts, n)])
 
     def passing(key, left: pa.Table, right: pa.Table) -> pa.Table:
         totals, seen, rows = Totals(right, n), set(), []
-        sets = shingle_sets(left["text"].to_pylist(), words) if left.num_rows else []
-        for i, s in zip(left["id"].to_pylist(), sets, strict=True):
+        ids, texts = documents_of(left)
+        for i, s in zip(ids, shingle_sets(texts, words), strict=True):
             part, raw = early(s), s.tobytes()
             passes = len(s) and raw not in seen and np.count_nonzero(totals.of(part) < 2) <= may_miss(len(s), need)
             seen.add(raw)
