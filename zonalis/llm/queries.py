@@ -8,9 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.llm import bm25_leaks, byte_bpe, hyper_language, line_chunks, suffix_repeats, trie_join, warc
+from zonalis.llm import (
+    bm25_leaks,
+    byte_bpe,
+    cover_topk,
+    hyper_language,
+    license_scan,
+    line_chunks,
+    packing,
+    suffix_repeats,
+    trie_join,
+    warc,
+)
 from zonalis.sources.session import shared_folder
 
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -46,6 +59,13 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack_sequences(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN)
+    return packed.select(
+        "shard", "sequence", "doc_ids", "offsets", "cu_seqlens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("positions", 256).alias("positions_sha256"))
+
+
 def op6_hyper_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     profiles = hyper_language.fit_prototypes(docs.filter(~F.coalesce(held_out(), F.lit(True))))
@@ -53,12 +73,21 @@ def op6_hyper_language(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, folder, "documents"))
+
+
+def op8_cover_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return cover_topk.exact_topk(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op9_trie_join(spark: SparkSession, folder: str) -> DataFrame:
     return trie_join.ngram_components(table(spark, folder, "documents"))
 
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
-    encoded = byte_bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = byte_bpe.encode_texts(docs, RANKS, public_tokenizers.PATTERN)
     return encoded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -73,7 +102,10 @@ QUERIES = {
     "op2_line_chunks": op2_line_chunks,
     "op3_bm25_leaks": op3_bm25_leaks,
     "op4_warc": op4_warc,
+    "op5_packing": op5_packing,
     "op6_hyper_language": op6_hyper_language,
+    "op7_license_scan": op7_license_scan,
+    "op8_cover_topk": op8_cover_topk,
     "op9_trie_join": op9_trie_join,
     "op10_byte_bpe": op10_byte_bpe,
 }
@@ -105,4 +137,14 @@ SELECT page_id, strlen(p.html)::BIGINT AS payload_bytes, sha1(p.html) AS payload
        CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN keeper <> page_id THEN keeper END AS refers_to
 FROM p LEFT JOIN kept ON p.html = kept.html""",
+    "op8_cover_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+             CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+             vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 20""",
 }
