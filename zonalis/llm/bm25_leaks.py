@@ -9,6 +9,7 @@ What is found counts if question and answer overlap with the passage.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -22,7 +23,7 @@ B = 0.75
 THRESHOLD = 0.6
 OVERLAP = 0.6
 GRAM = 3
-BLOCK = 16
+BLOCK = 8
 STRIDE = 64
 INDEX_BYTES = 16 << 20
 WORD = re.compile(r"\w+")
@@ -84,26 +85,35 @@ class Index:
         self.terms = {w: k for k, w in enumerate(postings)}
         self.items = [[i for i, _ in p] for p in postings.values()]
         self.weights = [[x for _, x in p] for p in postings.values()]
-        self.block_max = np.zeros((len(postings), -(-len(items) // BLOCK)))
-        for k, p in enumerate(postings.values()):
+        self.n_blocks = -(-len(items) // BLOCK)
+        self.blocks, self.block_max = [], []  # by term: the blocks it occurs in, its largest weight in each
+        for p in postings.values():
+            most: dict[int, float] = {}
             for i, x in p:
-                self.block_max[k, i // BLOCK] = max(self.block_max[k, i // BLOCK], x)
-        self.term_max = np.append(self.block_max.max(axis=1, initial=0), 0.0)  # the last one: no such term
+                most[i // BLOCK] = max(most.get(i // BLOCK, 0.0), x)
+            self.blocks.append(np.array(list(most), np.int64))
+            self.block_max.append(np.array(list(most.values())))
+        self.term_max = np.array([m.max() for m in self.block_max] + [0.0])  # the last one: no such term
 
     def search(self, terms: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, float]]:
         """(place of the item, score) of all items that reach the threshold with these distinct terms."""
         out: list[tuple[int, float]] = []
-        possible = self.block_max[terms]
-        for block in np.flatnonzero(possible.sum(axis=0) >= threshold - EPSILON).tolist():
-            mine = terms[possible[:, block] > 0]
-            out += self._wand(mine.tolist(), self.block_max[mine, block].tolist(), block, threshold - EPSILON)
+        if not len(terms):
+            return out
+        held = [self.blocks[t] for t in terms]
+        blocks, most = np.concatenate(held), np.concatenate([self.block_max[t] for t in terms])
+        owner = np.repeat(terms, [len(x) for x in held])
+        possible = np.bincount(blocks, most, self.n_blocks)
+        for block in np.flatnonzero(possible >= threshold - EPSILON).tolist():
+            mine = blocks == block
+            out += self._wand(owner[mine].tolist(), most[mine].tolist(), block, threshold - EPSILON)
         return out
 
     def _wand(self, terms: list[int], largest: list[float], block: int, threshold: float) -> list[tuple[int, float]]:
         end = (block + 1) * BLOCK
         cursors = []  # [item, place in the postings, term, largest weight in the block]
         for t, most in zip(terms, largest, strict=True):
-            at = _seek(self.items[t], 0, block * BLOCK)
+            at = bisect_left(self.items[t], block * BLOCK)
             cursors.append([self.items[t][at], at, t, most])
         out = []
         while True:
@@ -130,16 +140,10 @@ class Index:
 
     def _move(self, cursor: list, item: int) -> None:
         postings = self.items[cursor[2]]
-        cursor[1] = _seek(postings, cursor[1], item)
+        cursor[1] = bisect_left(postings, item, cursor[1])
         cursor[0] = postings[cursor[1]] if cursor[1] < len(postings) else 1 << 60
 
 
-def _seek(postings: list[int], start: int, item: int) -> int:
-    while start < len(postings) and postings[start] < item:
-        start += 1
-    return start
-
-
 def build_indexes(items: DataFrame, item_col: str = "item_id", text_col: str = "text") -> list[Index]:
     """Indexes of slices of at most about ``INDEX_BYTES`` of item text; term statistics are those of all items.
 
