@@ -20,8 +20,10 @@ import regex
 from pyspark.sql import DataFrame
 
 LEAF_BYTES = 16
-KEPT_PIECES = 400_000
-KEPT_PAIRS = 200_000
+SEAM_BYTES = 16
+LONG_BYTES = 64
+KEPT_PIECES = 1_000_000
+KEPT_PAIRS = 100_000
 DECODE_LEAF = 4096
 OUT_BYTES = 8 << 20
 
@@ -48,7 +50,9 @@ class ByteBpe:
         self._any = regex.compile(classed)
         self._latin = _latin_pattern(classed)
         self._packed = _Packed(self)
+        self._words = [np.uint32(r).astype("<u4").tobytes() for r in range(len(self.tokens))]
         self.stable = lru_cache(KEPT_PAIRS)(self._stable)
+        self._short = lru_cache(KEPT_PAIRS)(self._merge)
 
     def split(self, text: str) -> list[str]:
         """Matches of the pattern; texts within Latin-1 take the standard library's faster engine."""
@@ -69,6 +73,9 @@ class ByteBpe:
         half = len(ids) // 2
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
+    def pack(self, piece: bytes) -> bytes:
+        return b"".join(map(self._words.__getitem__, self.encode_piece(piece)))
+
     def _tree(self, piece: bytes) -> list[int]:
         if len(piece) <= LEAF_BYTES:
             return self._merge(piece)
@@ -79,7 +86,8 @@ class ByteBpe:
         i = j = 1
         while True:
             i, j = min(i, len(left)), min(j, len(right))
-            window = self._merge(self.decode(left[-i:]) + self.decode(right[:j]))
+            seam = self.decode(left[-i:]) + self.decode(right[:j])
+            window = self._short(seam) if len(seam) <= SEAM_BYTES else self._merge(seam)
             left_holds = i == len(left) or self.stable(left[-i - 1], window[0])
             right_holds = j == len(right) or self.stable(window[-1], right[j])
             if left_holds and right_holds:
@@ -91,24 +99,21 @@ class ByteBpe:
 
     def _merge(self, piece: bytes) -> list[int]:
         """Merge the pair of lowest rank, leftmost first, until no pair has a rank."""
-        if len(piece) > 4 * LEAF_BYTES:
+        if len(piece) > LONG_BYTES:
             return self._merge_long(piece)
-        rank, parts = self.ranks.get, [piece[i:i + 1] for i in range(len(piece))]
-        pairs = [rank(piece[i:i + 2]) for i in range(len(piece) - 1)]
-        while True:
-            best, at = None, -1
-            for i, r in enumerate(pairs):
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                return [self.ranks[p] for p in parts]
-            merged = parts[at] + parts[at + 1]
+        rank, none = self.ranks.get, len(self.tokens)
+        parts = [piece[i:i + 1] for i in range(len(piece))]
+        pairs = [rank(piece[i:i + 2], none) for i in range(len(piece) - 1)]
+        while pairs and (best := min(pairs)) < none:
+            at = pairs.index(best)
+            merged = self.tokens[best]
             parts[at:at + 2] = [merged]
             del pairs[at]
             if at < len(pairs):
-                pairs[at] = rank(merged + parts[at + 1])
+                pairs[at] = rank(merged + parts[at + 1], none)
             if at:
-                pairs[at - 1] = rank(parts[at - 1] + merged)
+                pairs[at - 1] = rank(parts[at - 1] + merged, none)
+        return [self.ranks[p] for p in parts]
 
     def _merge_long(self, piece: bytes) -> list[int]:
         n, rank = len(piece), self.ranks.get
@@ -145,7 +150,7 @@ class _Packed(dict):
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= KEPT_PIECES:
             self.clear()
-        packed = np.array(self._bpe.encode_piece(piece.encode("utf-8", "surrogatepass")), "<u4").tobytes()
+        packed = self._bpe.pack(piece.encode("utf-8", "surrogatepass"))
         if len(packed) <= 256:
             self[piece] = packed
         return packed
