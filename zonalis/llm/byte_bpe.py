@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 LEAF_BYTES = 16
 SEAM_BYTES = 16
 LONG_BYTES = 64
-KEPT_PIECES = 1_000_000
+KEPT_PIECES = 300_000
 KEPT_PAIRS = 100_000
 DECODE_LEAF = 4096
 OUT_BYTES = 8 << 20
