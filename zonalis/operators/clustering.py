@@ -92,25 +92,19 @@ def inertia(spots: DataFrame, centroids: DataFrame, keys: Sequence[str]) -> Data
 
 def random_start(spots: DataFrame, runs: DataFrame, restarts: int, seed: int,
                  largest_k: int, n_runs: int) -> DataFrame:
-    """``k`` distinct places per run of ``runs`` (ciudad, k, lugares) and restart, drawn by hash.
+    """``k`` distinct places per run of ``runs`` (ciudad, k) and restart, drawn by hash.
 
-    The draw is uniform, so in a large city the first places are found among a
-    small share of it: about a thousand candidates per zone are ranked, not all
-    places. Every task ranks its own before the shuffle.
+    All places are candidates. Every task keeps its own first ``largest_k`` before
+    the shuffle, so ranking needs no cut by size.
     """
     draw = F.xxhash64(F.lit(seed), "intento", "lat", "lng")
     tries = F.explode(F.sequence(F.lit(0), F.lit(restarts - 1)))
-    sizes = broadcast_if_small(runs.groupBy("ciudad").agg(F.max("lugares").alias("lugares")),
-                               at_most=n_runs)
-    share = F.pmod("_draw", F.lit(1 << 40)) / float(1 << 40)
-    rank = F.row_number().over(
-        Window.partitionBy("ciudad", "intento").orderBy("_share", "_draw", "lat", "lng"))
-    drawn = (spots.join(sizes, "ciudad")
-             .select("ciudad", "lat", "lng", "lugares", tries.alias("intento"))
-             .withColumn("_draw", draw).withColumn("_share", share)
-             .filter(F.col("_share") * F.col("lugares") <= 1000.0 * largest_k)
+    rank = F.row_number().over(Window.partitionBy("ciudad", "intento").orderBy("_draw", "lat", "lng"))
+    drawn = (spots.join(broadcast_if_small(runs.select("ciudad").distinct(), at_most=n_runs), "ciudad", "left_semi")
+             .select("ciudad", "lat", "lng", tries.alias("intento"))
+             .withColumn("_draw", draw)
              .withColumn("_rank", rank).filter(F.col("_rank") <= largest_k))
-    return (drawn.drop("lugares").join(broadcast_if_small(runs, at_most=n_runs), "ciudad")
+    return (drawn.join(broadcast_if_small(runs, at_most=n_runs), "ciudad")
             .filter(F.col("_rank") <= F.col("k"))
             .select("ciudad", "k", "intento", (F.col("_rank") - 1).alias("cluster_id"),
                     F.col("lat").alias("centroide_lat"), F.col("lng").alias("centroide_lng")))
