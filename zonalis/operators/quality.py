@@ -15,15 +15,11 @@ from pyspark.sql import functions as F
 
 from zonalis import config
 from zonalis.operators.lookups import lookup_join
-from zonalis.sources.session import constant_frame, small_checkpoint
+from zonalis.sources.session import constant_frame, shuffle_parts, staged
 
 REJECT_COLUMNS = ("id_propiedad", "mlsid", "subtipo_original", "tipo_propiedad",
                   "segmento", "tipo_transaccion")
 
-# A key with more rows than this is split before it is sorted.
-HOT_KEY_ROWS = 2_000_000
-HOT_KEY_SPLITS = 256
-
 
 def no_reasons() -> Column:
     return F.array().cast("array<string>")
@@ -42,35 +38,31 @@ def _latest_first(df: DataFrame, key: str, latest_by: Sequence[str]) -> list[Col
     return [F.col(c).desc_nulls_last() for c in (*latest_by, *ties)]
 
 
-def flag_last(df: DataFrame, key: str, latest_by: Sequence[str], flag: str = "es_ultimo", *,
-              hot_rows: int = HOT_KEY_ROWS, splits: int = HOT_KEY_SPLITS) -> DataFrame:
-    """Mark the latest row of every key.
+def flag_last(df: DataFrame, key: str, latest_by: Sequence[str], flag: str = "es_ultimo") -> DataFrame:
+    """Mark the latest row of every key; rows without a key count as one key.
 
     Latest is decided by ``latest_by`` (nulls first), then by all other columns,
-    so the choice does not depend on the order of the input. Keys with more than
-    ``hot_rows`` rows are first reduced in ``splits`` parts, so that no task
-    sorts a whole hot key.
+    so the choice does not depend on the order of the input. Identical rows are
+    counted first, which shrinks them within their task. The different rows of
+    a key are spread over as many parts as there are shuffle tasks: each part
+    names its best, and the key's best is chosen among these. The ranked rows
+    are written once, so the input is read once.
     """
     order = _latest_first(df, key, latest_by)
+    parts = shuffle_parts(df.sparkSession)
 
-    def first_in(frame: DataFrame, *by: str) -> DataFrame:
-        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-        return frame.withColumn(flag, rank == 1)
-
-    hot = small_checkpoint(
-        df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(key))
-    n_hot = hot.count()  # at most rows / hot_rows
-    if n_hot == 0:
-        return first_in(df, key)
+    def best_in(*by: str) -> Column:
+        return F.row_number().over(Window.partitionBy(*by).orderBy(*order)) == 1
 
-    marked = lookup_join(df, hot.withColumn("_hot", F.lit(True)), key, at_most=n_hot)
-    calm = first_in(marked.filter(F.col("_hot").isNull()).drop("_hot"), key)
-    split = (marked.filter(F.col("_hot")).drop("_hot")
-             .withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(splits))))
-    parts = first_in(split, key, "_part").drop("_part")
-    beaten = parts.filter(~F.col(flag))
-    best = first_in(parts.filter(F.col(flag)).drop(flag), key)
-    return calm.unionByName(beaten).unionByName(best)
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(parts))
+    ranked = staged(df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+                    .withColumn("_part", part)
+                    .withColumn(flag, best_in(key, "_part")).drop("_part"), "ranked")
+    beaten = ranked.filter(~F.col(flag))
+    best = ranked.filter(F.col(flag)).withColumn(flag, best_in(key))
+    copy = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
+    return (beaten.unionByName(best).withColumn("_copy", copy)
+            .withColumn(flag, F.col(flag) & (F.col("_copy") == 1)).select(*df.columns, flag))
 
 
 def keep_last(df: DataFrame, key: str, latest_by: Sequence[str]) -> DataFrame:
@@ -190,8 +182,7 @@ def reject_rows(df: DataFrame, reasons: str) -> DataFrame:
 
 
 def load_violations(df: DataFrame, not_null: Iterable[str] = config.ANALYTICS_NOT_NULL,
-                    unique: str | None = config.ANALYTICS_KEY, reasons: str = "violaciones",
-                    **hot) -> DataFrame:
+                    unique: str | None = config.ANALYTICS_KEY, reasons: str = "violaciones") -> DataFrame:
     """Reasons why a row cannot be loaded: a null where none may be, a key already taken.
 
     Of the complete rows sharing a key one is accepted. ``unique=None`` leaves
@@ -203,6 +194,6 @@ def load_violations(df: DataFrame, not_null: Iterable[str] = config.ANALYTICS_NO
         return df.withColumn(reasons, reasons_if(*checks))
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in not_null])
     # Incomplete rows take no key: they are ranked behind all complete ones.
-    ranked = flag_last(df.withColumn("_complete", complete), unique, ["_complete"], "_first", **hot)
+    ranked = flag_last(df.withColumn("_complete", complete), unique, ["_complete"], "_first")
     checks.append((F.col(unique).isNotNull() & complete & ~F.col("_first"), f"{unique} repetido"))
     return ranked.withColumn(reasons, reasons_if(*checks)).select(*df.columns, reasons)

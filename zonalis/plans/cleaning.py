@@ -24,7 +24,6 @@ class CleaningRules:
     latest_by: tuple[str, ...] = ("sold_date", "precio_cierre")
     sigmas: float = config.OUTLIER_SIGMAS
     min_values: int = config.OUTLIER_MIN_VALUES
-    hot_rows: int = q.HOT_KEY_ROWS
 
     @property
     def groups(self) -> int:
@@ -60,7 +59,7 @@ def clean(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Cleaned:
     each is one aggregation over three or four columns of the written frame.
     """
     source = missing_to_null(raw)
-    flagged = q.flag_last(source, "id_propiedad", rules.latest_by, hot_rows=rules.hot_rows)
+    flagged = q.flag_last(source, "id_propiedad", rules.latest_by)
     typed = q.with_type_areas(q.map_category(
         flagged, "subtipo_original", "tipo_propiedad", rules.subtype_to_type, rules.default_type))
 

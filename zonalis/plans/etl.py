@@ -70,16 +70,16 @@ def load(tables: crm.Tables, centroids: DataFrame, target: DataFrame, as_of: str
          cities: Iterable[City] = config.CITIES, deals: Iterable[Deal] = config.DEALS,
          years: Iterable[int] = config.SALE_YEARS,
          rules: CleaningRules = CleaningRules(),
-         department_subtypes: Iterable[str] = features.DEPARTMENT_SUBTYPES) -> Load:
+         department_subtypes: Iterable[str] = features.DEPARTMENT_SUBTYPES,
+         country: str = config.COUNTRY) -> Load:
     """The whole job. Nothing is written but stages; see ``sources.sinks`` for the results."""
     deals = tuple(deals)
-    raw = staged(crm.extract_listings(tables, cities, deals, years), "extract")
-    cleaned = clean(raw, rules)
+    cleaned = clean(crm.extract_listings(tables, cities, deals, years), rules)
     ratios, means = zone_statistics(crm.status_points(tables, deals),
                                     crm.recent_prices(tables, as_of, deals), centroids)
     featured = derive_features(cleaned.kept, centroids, ratios, means, as_of, len(deals),
                                department_subtypes)
-    rows = features.load_projection(featured)
+    rows = features.load_projection(featured).withColumn("pais", F.lit(country))
     # The cleaning job leaves one row per property.
     checked = staged(load_violations(rows, unique=None), "load")
     accepted = checked.filter(F.size("violaciones") == 0).drop("violaciones")

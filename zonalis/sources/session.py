@@ -39,6 +39,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def shuffle_parts(spark: SparkSession) -> int:
+    """The number of shuffle tasks of the session, for spreading hot groups."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write a frame once to the shared folder and read it back.
 
