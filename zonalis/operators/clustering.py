@@ -7,6 +7,7 @@ numbers of zones and restarts together; only centroids leave the executors.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -21,6 +22,8 @@ from zonalis.sources.session import small_checkpoint, staged
 # Centroids are kept with the decimals they are stored with: every partitioning
 # of the points then gives the same centroids.
 CENTROID_DECIMALS = 7
+PLACE = "decimal(10,7)"
+ITERATIONS = 300
 
 
 def places(points: DataFrame, lat: str = "latitude", lng: str = "longitude") -> DataFrame:
@@ -35,7 +38,7 @@ def mean_places(points: DataFrame) -> DataFrame:
     return (points.groupBy("ciudad")
             .agg(F.round(F.avg("latitude"), CENTROID_DECIMALS).alias("centroide_lat"),
                  F.round(F.avg("longitude"), CENTROID_DECIMALS).alias("centroide_lng"),
-                 F.count("*").cast("int").alias("total_propiedades"))
+                 F.count("*").alias("total_propiedades"))
             .withColumn("cluster_id", F.lit(0)))
 
 
@@ -51,11 +54,13 @@ def _with_nearest(spots: DataFrame, centroids: DataFrame, keys: Sequence[str],
 
 
 def lloyd(spots: DataFrame, start: DataFrame, keys: Sequence[str] = ("ciudad",), *,
-          iterations: int = 50, tolerance: float = 1e-4) -> DataFrame:
+          iterations: int = ITERATIONS, tolerance: float = 1e-4) -> DataFrame:
     """Move centroids to the mean of their places until they stay.
 
     A centroid without places stays where it is. Stops when no centroid moves
-    further than ``tolerance`` degrees.
+    further than ``tolerance`` degrees, and warns if some still do after
+    ``iterations``. Coordinates are summed as decimals, so the sums do not
+    depend on their order.
     """
     keys = list(keys)
     columns = [*keys, "cluster_id", "centroide_lat", "centroide_lng"]
@@ -66,11 +71,13 @@ def lloyd(spots: DataFrame, start: DataFrame, keys: Sequence[str] = ("ciudad",),
     if not total:
         return centroids
     for _ in range(iterations):
-        weight = F.sum("peso")
+        def mean(c: str):
+            total_of = F.sum(F.col("peso") * F.col(c).cast(PLACE)).cast("double")
+            return F.round(total_of / F.sum("peso"), CENTROID_DECIMALS)
+
         moved = (_with_nearest(spots, centroids, keys, total)
                  .groupBy(*keys, "cluster_id")
-                 .agg(F.round(F.sum(F.col("peso") * F.col("lat")) / weight, CENTROID_DECIMALS).alias("_lat"),
-                      F.round(F.sum(F.col("peso") * F.col("lng")) / weight, CENTROID_DECIMALS).alias("_lng")))
+                 .agg(mean("lat").alias("_lat"), mean("lng").alias("_lng")))
         step = small_checkpoint(
             centroids.join(broadcast_if_small(moved, at_most=total), [*keys, "cluster_id"], "left")
             .select(*columns, F.coalesce("_lat", "centroide_lat").alias("_lat"),
@@ -80,7 +87,9 @@ def lloyd(spots: DataFrame, start: DataFrame, keys: Sequence[str] = ("ciudad",),
         centroids = step.select(*keys, "cluster_id", F.col("_lat").alias("centroide_lat"),
                                 F.col("_lng").alias("centroide_lng"))
         if shift <= tolerance ** 2:
-            break
+            return centroids
+    warnings.warn(f"K-means stopped after {iterations} iterations; a centroid still moved {shift ** 0.5:.7f} degrees",
+                  stacklevel=2)
     return centroids
 
 
@@ -132,7 +141,7 @@ def city_sizes(spots: DataFrame, min_points: int = config.MIN_ZONE_POINTS) -> Da
 
 
 def city_zones(points: DataFrame, cities: DataFrame, *, restarts: int = 10, seed: int = 42,
-               iterations: int = 50, tolerance: float = 1e-4,
+               iterations: int = ITERATIONS, tolerance: float = 1e-4,
                min_points: int = config.MIN_ZONE_POINTS) -> DataFrame:
     """Zones of every city of ``cities`` (ciudad, n_clusters): centroids and members.
 
@@ -158,11 +167,11 @@ def with_members(spots: DataFrame, centroids: DataFrame) -> DataFrame:
                .groupBy("ciudad", "cluster_id").agg(F.sum("peso").alias("_n")))
     return (centroids.join(broadcast_if_small(members, at_most=total), ["ciudad", "cluster_id"], "left")
             .select("ciudad", "cluster_id", "centroide_lat", "centroide_lng",
-                    F.coalesce("_n", F.lit(0)).cast("int").alias("total_propiedades")))
+                    F.coalesce("_n", F.lit(0).cast("bigint")).alias("total_propiedades")))
 
 
 def elbow_table(points: DataFrame, *, max_k: int = 20, restarts: int = 10, seed: int = 42,
-                iterations: int = 50, tolerance: float = 1e-4,
+                iterations: int = ITERATIONS, tolerance: float = 1e-4,
                 min_points: int = config.MIN_ZONE_POINTS) -> DataFrame:
     """Inertia per city for even numbers of zones, up to ``max_k`` and a tenth of the points."""
     spots = staged(places(points), "places")
@@ -177,7 +186,7 @@ def elbow_table(points: DataFrame, *, max_k: int = 20, restarts: int = 10, seed:
 
 def largest_recommended_k(n_clusters, properties):
     """Upper limit for the number of zones: five more than suggested, one per five points."""
-    return F.least(n_clusters + 5, F.floor(properties / 5)).cast("int")
+    return F.least(n_clusters + 5, F.floor(properties / 5)).cast("bigint")
 
 
 def zone_table(zones: DataFrame, country: str, generated, mean_prices: DataFrame | None = None) -> DataFrame:
