@@ -11,6 +11,7 @@ from zonalis.functions.prices import effective_price
 from zonalis.functions.values import null_if_zero
 
 ALL = "todos"
+YEAR = "anio"
 
 
 def price_records(rows: DataFrame) -> DataFrame:
@@ -42,9 +43,9 @@ def as_json(records: DataFrame, out: str = "registro") -> DataFrame:
 
 
 def facet_filter(records: DataFrame, facets: Mapping[str, object]) -> DataFrame:
-    """Rows matching every facet; None, 0 or "todos" leaves a facet open."""
+    """Rows matching every facet; None or "todos" leaves a facet open, as does 0 for the year."""
     for column, value in facets.items():
-        if value not in (None, 0, ALL):
+        if value is not None and value != ALL and (column, value) != (YEAR, 0):
             records = records.filter(F.col(column) == value)
     return records
 
@@ -91,6 +92,11 @@ def min_max_weight(df: DataFrame, column: str, out: str = "peso") -> DataFrame:
     return df.withColumn(out, (F.col(column) - ends["lo"]) / span)
 
 
+def price_weight(df: DataFrame, price: str, out: str = "peso") -> DataFrame:
+    """The rows with a positive price, weighted by it."""
+    return min_max_weight(df.filter(F.col(price) > 0), price, out)
+
+
 def activity_grid(records: DataFrame, step: float, lat: str = "lat", lng: str = "lng") -> DataFrame:
     """Operations per grid cell; a cell is named by the numbers of its row and column."""
     return (records.groupBy(F.floor(F.col(lat) / step).alias("celda_lat"),
@@ -102,7 +108,8 @@ def facet_values(rows: DataFrame, columns: Sequence[str], descending: Sequence[s
     """The distinct values of several columns as sorted rows (faceta, valor).
 
     One pass: each row is unfolded and made distinct within its task before the
-    shuffle, and the sort is over the distinct values only.
+    shuffle, and the sort is over the distinct values only. Falling facets are
+    sorted as numbers where they are numbers.
     """
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias("faceta"), F.col(c).cast("string").alias("valor"))
@@ -110,7 +117,8 @@ def facet_values(rows: DataFrame, columns: Sequence[str], descending: Sequence[s
     values = (rows.select(pairs.alias("p")).select("p.faceta", "p.valor")
               .filter(F.col("valor").isNotNull()).distinct())
     falls = F.col("faceta").isin(list(descending))
-    return values.orderBy("faceta", F.when(falls, F.col("valor")).desc_nulls_last(), "valor")
+    return values.orderBy("faceta", F.when(falls, F.col("valor").try_cast("double")).desc_nulls_last(),
+                          F.when(falls, F.col("valor")).desc_nulls_last(), "valor")
 
 
 def extent(rows: DataFrame, lat: str = "latitude", lng: str = "longitude") -> DataFrame:

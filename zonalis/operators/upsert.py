@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from zonalis import config
 from zonalis.functions.dates import instant
+from zonalis.operators.lookups import lookup_join
 
 ACTION = "accion"
 
@@ -65,7 +66,7 @@ def replace_by(existing: DataFrame, new: DataFrame, key: str = "ciudad") -> Data
 def _has_parent(child: DataFrame, parent: DataFrame, keys: Sequence[tuple[str, str]]) -> DataFrame:
     parents = parent.select(*[F.col(p).alias(c) for c, p in keys]).distinct().withColumn(
         "_parent", F.lit(True))
-    return child.join(parents, [c for c, _ in keys], "left")
+    return lookup_join(child, parents, [c for c, _ in keys])
 
 
 ZONE_REFERENCE = (("cluster_zona", "cluster_id"), ("ciudad", "ciudad"))
@@ -76,8 +77,8 @@ def reference_violations(child: DataFrame, parent: DataFrame,
     """Child rows whose reference has no parent; a reference with a null passes."""
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c, _ in keys])
     checked = child.filter(complete)
-    parents = parent.select(*[F.col(p).alias(c) for c, p in keys])
-    return checked.join(parents, [c for c, _ in keys], "left_anti").select(*child.columns)
+    parents = parent.select(*[F.col(p).alias(c) for c, p in keys]).distinct()
+    return lookup_join(checked, parents, [c for c, _ in keys], "left_anti").select(*child.columns)
 
 
 def set_null_without_parent(child: DataFrame, parent: DataFrame, column: str = "cluster_zona",

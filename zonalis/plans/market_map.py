@@ -36,9 +36,9 @@ def market_map(analytics: DataFrame, centroids: DataFrame, city: str | None = No
                     F.col("longitude").cast("double").alias("longitude")),
         ["ciudad", "cluster_zona"], "longitude", "latitude")
     return MarketMap(
-        records=market.min_max_weight(chosen, "precio"),
+        records=market.price_weight(chosen, "precio"),
         summary=market.price_summary(chosen),
-        zones=market.min_max_weight(zone_prices, "precio_promedio"),
+        zones=market.price_weight(zone_prices, "precio_promedio"),
         hulls=outlines,
         activity=market.activity_grid(chosen, cell),
         facets=market.facet_values(
