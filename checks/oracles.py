@@ -285,7 +285,7 @@ WHERE l.transaction_type_id IN (1, 2) AND l.status_listing_id IN (7, 8)
   AND year(t.sold_date) IN (1998, 1999, 2001)"""
 VIEWS["medias"] = """
 SELECT ciudad, round(avg(latitude), 7) AS centroide_lat, round(avg(longitude), 7) AS centroide_lng,
-       cast(count(*) AS int) AS total_propiedades, cast(0 AS int) AS cluster_id
+       count(*) AS total_propiedades, cast(0 AS int) AS cluster_id
 FROM puntos GROUP BY 1"""
 
 # --- the whole load -------------------------------------------------------------
@@ -533,11 +533,11 @@ FROM enriched WHERE cluster_zona IS NOT NULL GROUP BY 1, 2""",
     "zones_k1": """
 SELECT ciudad, centroide_lat, centroide_lng, total_propiedades, cluster_id, cast(tier AS int) AS tier,
        cast(total_propiedades AS bigint) AS propiedades, cast(1 AS bigint) AS clusters,
-       cast(least(k + 5, total_propiedades // 5) AS int) AS k_maximo
+       cast(least(k + 5, total_propiedades // 5) AS bigint) AS k_maximo
 FROM medias JOIN ciudades USING (ciudad)""",
     "zones_lloyd_2iter": """
 SELECT c.ciudad, c.cluster_id, c.clat AS centroide_lat, c.clng AS centroide_lng,
-       cast(coalesce(n, 0) AS int) AS total_propiedades
+       cast(coalesce(n, 0) AS bigint) AS total_propiedades
 FROM c2 c LEFT JOIN (SELECT ciudad, cluster_id, sum(peso) AS n FROM a2 GROUP BY 1, 2) m
   ON c.ciudad = m.ciudad AND c.cluster_id = m.cluster_id""",
     "fk_violations": """
@@ -583,7 +583,8 @@ SELECT id_propiedad, mlsid, tipo_propiedad, subtipo_original, categoria_propieda
        round(coalesce(r.ratio_activas_vendidas_zona, 0e0), 6) AS ratio_activas_vendidas_zona,
        cast(month(date_of_listing) AS int) AS mes_publicacion,
        cast(year(date_of_listing) AS int) AS anio_publicacion,
-       cast(cast(sold_date AS date) AS varchar) AS fecha_venta, status, transaction_type
+       cast(cast(sold_date AS date) AS varchar) AS fecha_venta, status, transaction_type,
+       'Bolivia' AS pais
 FROM e_loaded l
 LEFT JOIN ratios r ON l.ciudad = r.ciudad AND l.tipo_transaccion = r.tipo_transaccion
                   AND l.cluster_zona = r.cluster_zona
@@ -623,7 +624,9 @@ SELECT cast(floor(lat / 0.25e0) AS bigint) AS celda_lat, cast(floor(lng / 0.25e0
 FROM records GROUP BY 1, 2""",
     "zone_hull": """
 , columnas AS (
-    SELECT ciudad, cluster_zona, longitude AS x, min(latitude) AS y0, max(latitude) AS y1
+    SELECT ciudad, cluster_zona, cast(round(longitude * 10000000) AS hugeint) AS x,
+           min(cast(round(latitude * 10000000) AS hugeint)) AS y0,
+           max(cast(round(latitude * 10000000) AS hugeint)) AS y1
     FROM places GROUP BY 1, 2, 3),
 cadenas AS (
     SELECT ciudad, cluster_zona, x, y0 AS y, 1 AS lado FROM columnas
@@ -635,9 +638,17 @@ vertices AS (
           ON a.ciudad = b.ciudad AND a.cluster_zona = b.cluster_zona AND a.lado = b.lado
         WHERE a.ciudad = p.ciudad AND a.cluster_zona = p.cluster_zona AND a.lado = p.lado
           AND a.x < p.x AND b.x > p.x
-          AND (p.x - a.x) * (b.y - a.y) - (p.y - a.y) * (b.x - a.x) <= 1e-12))
-SELECT ciudad, cluster_zona, x AS longitude, y AS latitude FROM vertices
-QUALIFY count(*) OVER (PARTITION BY ciudad, cluster_zona) > 2""",
+          AND (p.x - a.x) * (b.y - a.y) - (p.y - a.y) * (b.x - a.x) <= 0)),
+extremos AS (
+    SELECT ciudad, cluster_zona, min(struct_pack(x := x, y := y)) AS a, max(struct_pack(x := x, y := y)) AS b
+    FROM vertices GROUP BY 1, 2 HAVING count(*) > 2),
+lados AS (
+    SELECT v.*, CASE WHEN (b.x - a.x) * (y - a.y) - (b.y - a.y) * (x - a.x) > 0 THEN -1 ELSE 1 END AS lado
+    FROM vertices v JOIN extremos e ON v.ciudad = e.ciudad AND v.cluster_zona = e.cluster_zona)
+SELECT ciudad, cluster_zona, x / 10000000 AS longitude, y / 10000000 AS latitude,
+       cast(row_number() OVER (PARTITION BY ciudad, cluster_zona
+                               ORDER BY lado DESC, x * lado, y * lado) - 1 AS int) AS orden
+FROM lados""",
     "road_rule_match": """
 SELECT segment_id, regla, categoria, label, color, weight, nombre_via,
        array_to_string(nombres, ', ') AS nombres FROM clasificadas""",

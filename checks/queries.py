@@ -250,12 +250,11 @@ def zones_lloyd_2iter(spark, sf):
 
 
 def zones_kmeans(spark, sf):
-    return build_zones(fx.crm(spark, sf), fx.AS_OF, fx.CITIES, fx.YEARS, restarts=3,
-                       iterations=10).table
+    return build_zones(fx.crm(spark, sf), fx.AS_OF, fx.CITIES, fx.YEARS).table
 
 
 def elbow_table(spark, sf):
-    return elbow(fx.crm(spark, sf), fx.CITIES, fx.YEARS, restarts=2, iterations=5, max_k=10)
+    return elbow(fx.crm(spark, sf), fx.CITIES, fx.YEARS)
 
 
 def fk_violations(spark, sf):
@@ -323,8 +322,7 @@ def map_extent(spark, sf):
 
 
 def minmax_weight(spark, sf):
-    return rounded(market.min_max_weight(
-        _records(spark, sf).filter(F.col("precio") > 0), "precio"), 9, "peso").select(
+    return rounded(market.price_weight(_records(spark, sf), "precio"), 9, "peso").select(
         "lat", "lng", "precio", "peso")
 
 
@@ -336,7 +334,7 @@ def zone_hull(spark, sf):
     listings = fx.listings(spark, sf).select("ciudad", "latitude", "longitude")
     placed = zones.assign_nearest(listings, fx.centroids(spark, sf))
     return hull.group_hulls(placed.filter(F.col("cluster_zona").isNotNull()),
-                            ["ciudad", "cluster_zona"], "longitude", "latitude").drop("orden")
+                            ["ciudad", "cluster_zona"], "longitude", "latitude")
 
 
 # --- roads ------------------------------------------------------------------
@@ -431,7 +429,7 @@ def _empty_analytics(spark):
              **{c: "int" for c in config.INTEGER_LIMITS}, "fecha_venta": "date"}
     ddl = ", ".join(f"{c} {types[c]}" for c in config.ANALYTICS_COLUMNS)
     return spark.createDataFrame(
-        [], f"{ddl}, fecha_carga timestamp_ntz, fecha_actualizacion timestamp_ntz")
+        [], f"{ddl}, pais string, fecha_carga timestamp_ntz, fecha_actualizacion timestamp_ntz")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -71,6 +71,12 @@ def test_min_max_weight(spark):
     assert rows(market.min_max_weight(same, "v"), "peso") == [(0.0,), (0.0,)]
 
 
+def test_weights_and_years_of_positive_prices(spark):
+    df = spark.createDataFrame([(10.0, 0), (20.0, 0), (0.0, 1), (-5.0, 1), (None, 1)], "v double, dormitorios int")
+    assert rows(market.price_weight(df, "v"), "v", "peso") == [(10.0, 0.0), (20.0, 1.0)]
+    assert market.facet_filter(df, {"dormitorios": 0}).count() == 2
+
+
 def test_grid_extent_and_facet_values(spark):
     df = spark.createDataFrame([(-0.1, 0.1), (-0.2, 0.2), (0.3, 0.6)], "lat double, lng double")
     assert rows(market.activity_grid(df, 0.5)) == [(-1, 0, 2), (0, 1, 1)]

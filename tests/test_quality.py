@@ -25,20 +25,19 @@ def test_flag_last_is_total_and_keeps_one(spark):
     assert rows(q.keep_last(df, "id", ["d", "p"])) == want
 
 
-def test_flag_last_splits_hot_keys_to_the_same_result(spark):
+def test_flag_last_of_hot_and_null_keys(spark):
     df = spark.range(0, 3000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 500).alias("k"),
+        F.when(F.col("id") % 3 != 0, F.col("id") % 500).alias("k"),
         (F.col("id") * 7 % 101).alias("v"), F.col("id").alias("w"))
-    plain = q.flag_last(df, "k", ["v"])
-    split = q.flag_last(df, "k", ["v"], hot_rows=100, splits=8)
-    assert rows(split) == rows(plain)
-    assert plain.filter("es_ultimo").count() == df.select("k").distinct().count()
+    flagged = q.flag_last(df, "k", ["v"])
+    assert flagged.count() == 3000
+    assert rows(flagged.filter("es_ultimo").drop("es_ultimo")) == rows(q.keep_last(df, "k", ["v"]))
 
 
 def test_identical_rows_keep_exactly_one(spark):
     df = spark.createDataFrame([(1, 2)] * 50, "k int, v int")
-    for options in ({}, {"hot_rows": 10, "splits": 4}):
-        assert q.flag_last(df, "k", ["v"], **options).filter("es_ultimo").count() == 1
+    flagged = q.flag_last(df, "k", ["v"])
+    assert flagged.count() == 50 and flagged.filter("es_ultimo").count() == 1
 
 
 def test_map_category(spark):

@@ -189,30 +189,36 @@ def test_hull_cases(spark):
     square = [("s", x, y) for x in range(5) for y in range(5)]
     data = square + square + [("two", 0, 0), ("two", 1, 1)] + [("line", i, 2 * i) for i in range(9)]
     data += [("one", 1, 1)] * 5
-    assert hulls(spark, data) == {"s": [(0, 0), (4, 0), (4, 4), (0, 4)]}
+    data += [("tiny", 0, 0), ("tiny", 9e-7, 0), ("tiny", 0, 9e-7)]
+    assert hulls(spark, data) == {"s": [(0, 0), (4, 0), (4, 4), (0, 4)],
+                                  "tiny": [(0, 0), (9e-7, 0), (0, 9e-7)]}
 
 
 def test_hull_contains_all_points_on_any_partitioning(spark, monkeypatch):
     monkeypatch.setattr(hull, "BUFFERED_POINTS", 50)
     rng = np.random.default_rng(3)
-    pts = [("g", *p) for p in rng.normal(0, 1, (400, 2))]
-    found = [hulls(spark, pts, n)["g"] for n in (1, 9)]
-    assert found[0] == found[1]
-    v = found[0]
-    for (ax, ay), (bx, by) in zip(v, v[1:] + v[:1]):
-        assert all((bx - ax) * (y - ay) - (by - ay) * (x - ax) >= -1e-9 for _, x, y in pts)
+    units = {"g": rng.normal(0, 1e7, (400, 2)).round().astype(int).tolist(),
+             "fine": rng.integers(0, 200, (3000, 2)).tolist()}
+    pts = [(k, x / 1e7, y / 1e7) for k, places in units.items() for x, y in places]
+    found = [hulls(spark, pts, n) for n in (1, 4, 17, 40)]
+    assert all(f == found[0] for f in found)
+    for k, places in units.items():
+        v = [(round(x * 1e7), round(y * 1e7)) for x, y in found[0][k]]
+        assert {*v} <= {tuple(p) for p in places}
+        for (ax, ay), (bx, by) in zip(v, v[1:] + v[:1]):
+            assert all((bx - ax) * (y - ay) - (by - ay) * (x - ax) >= 0 for x, y in places)
 
 
 # --- medians ----------------------------------------------------------------------
 
-@pytest.mark.parametrize("in_memory", [10**6, 0])
-def test_exact_medians(spark, in_memory):
+@pytest.mark.parametrize("parts", [1, 40])
+def test_exact_medians(spark, parts):
     rng = np.random.default_rng(1)
     data = [(k, float(v) if i % 7 else None, int(w)) for k, n in (("a", 501), ("b", 40), ("c", 1))
             for i, (v, w) in enumerate(zip(rng.normal(0, 1, n), rng.integers(0, 4, n)))]
-    df = spark.createDataFrame(data, "k string, v double, w int")
+    df = spark.createDataFrame(data, "k string, v double, w int").repartition(parts)
     got = {r["k"]: (r["v"], float(r["w"])) for r in
-           exact_medians(df, ["v", "w"], ["k"], in_memory=in_memory, accuracy=1000).collect()}
+           exact_medians(df, ["v", "w"], ["k"]).collect()}
     for k in "abc":
         vs = [v for key, v, _ in data if key == k and v is not None]
         ws = [w for key, _, w in data if key == k]
