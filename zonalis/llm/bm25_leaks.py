@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonalis.llm.common import lean
+
 K1 = 1.2
 B = 0.75
 THRESHOLD = 0.6
@@ -197,7 +199,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     out = spark.createDataFrame([], schema)
     for index in build_indexes(items, item_col, item_text_col):
         shared = spark.sparkContext.broadcast(index)
-        found = docs.select(id_col, text_col).mapInArrow(_searcher(shared, threshold, overlap), schema)
+        found = docs.select(id_col, text_col).mapInArrow(lean(_searcher(shared, threshold, overlap)), schema)
         out = out.union(found)
     return out
 

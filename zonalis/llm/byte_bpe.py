@@ -19,6 +19,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from zonalis.llm.common import lean
+
 LEAF_BYTES = 16
 SEAM_BYTES = 16
 LONG_BYTES = 64
@@ -225,4 +227,4 @@ def encode_texts(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
                          pa.array(plain, pa.binary())], names=[id_col, "ids", "decoded"])
                     start, size, ids, plain = i + 1, 0, [], []
 
-    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, ids binary, decoded binary")
+    return df.select(id_col, text_col).mapInArrow(lean(run), f"`{id_col}` {id_type}, ids binary, decoded binary")

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonalis.llm.common import lean
+
 DIMENSIONS = 1024
 GRAM = 3
 SEED = 1
@@ -112,7 +114,7 @@ def fit_prototypes(df: DataFrame, text_col: str = "text", lang_col: str = "lang"
                  pa.array(total.astype(np.int64))], names=["lang", "at", "total"])
 
     labelled = df.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna()
-    summed = (labelled.mapInArrow(sums, "lang string, at int, total long")
+    summed = (labelled.mapInArrow(lean(sums), "lang string, at int, total long")
               .groupBy("lang", "at").agg(F.sum("total").alias("total")))
     rows = summed.limit(MAX_LANGUAGES * DIMENSIONS + 1).collect()
     if len(rows) > MAX_LANGUAGES * DIMENSIONS:
@@ -149,4 +151,4 @@ def predict_languages(df: DataFrame, prototypes: dict[str, np.ndarray], id_col:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(langs), pa.array(scores)], names=[id_col, "lang_pred", "score"])
 
-    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, lang_pred string, score double")
+    return df.select(id_col, text_col).mapInArrow(lean(run), f"`{id_col}` {id_type}, lang_pred string, score double")
