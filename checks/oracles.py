@@ -391,6 +391,12 @@ SELECT *, CASE WHEN tipo_propiedad <> 'Terreno' THEN tipo_propiedad
 FROM placed
 WHERE tipo_transaccion = 'Venta' AND precio_cierre IS NOT NULL AND tiempo_en_mercado IS NOT NULL
   AND tipo_propiedad IN ('Casa', 'Departamento', 'Terreno')"""
+VIEWS["asked"] = """
+SELECT *, tipo_propiedad = 'Terreno' AS land,
+       CASE WHEN tipo_propiedad <> 'Terreno' THEN tipo_propiedad
+            WHEN coalesce(m2_terreno, 0) <= 60 THEN 'Terreno_urbano'
+            ELSE 'Terreno_rural' END AS tipo
+FROM placed"""
 _NUMBERS = {"cluster_zona": "cluster_zona", "m2_construidos": "m2_construidos",
             "dormitorios": "dormitorios", "banos": "banos", "antiguedad": "antiguedad",
             "tiempo_en_mercado": "tiempo_en_mercado", "mes_publicacion": "mes_publicacion",
@@ -670,6 +676,15 @@ SELECT tipo_propiedad, count(*) AS registros,
        round(avg(abs((precio_cierre - precio_publicacion) / precio_cierre)) * 100, 6) AS mape,
        avg(abs((precio_cierre - precio_publicacion) / precio_cierre)) * 100 <= 12 AS meta_cumplida
 FROM typed WHERE precio_cierre IS NOT NULL GROUP BY 1""",
+    "price_model_score": """
+SELECT id_propiedad, tipo AS tipo_modelo, cluster_zona, CASE WHEN land AND known THEN m2 END AS m2, 'BOB' AS moneda,
+       CASE WHEN NOT known THEN 'sin modelo para tipo: ' || coalesce(tipo, '?') END AS error, known AS con_precio,
+       CASE WHEN known THEN true END AS banda_del_12, CASE WHEN known AND land THEN true END AS total_por_m2
+FROM (SELECT r.*, m.tipo_modelo IS NOT NULL AS known,
+             coalesce(nullif(m2_terreno, 0), m2_construidos, 0e0) AS m2
+      FROM asked r LEFT JOIN (SELECT tipo_modelo FROM train GROUP BY 1 HAVING count(
+                     CASE WHEN tipo_propiedad = 'Terreno' THEN precio_m2 ELSE precio_cierre END) >= 50) m
+        ON r.tipo = m.tipo_modelo)""",
     "model_type_counts": "SELECT tipo_modelo, count(*) AS filas FROM train GROUP BY 1",
 }
 

@@ -404,8 +404,15 @@ def price_model_score(spark, sf):
                            trees={**config.TREES, "maxIter": 3, "maxDepth": 4})
     requests = _typed(fx.listings(spark, sf)).withColumn(
         "mes_publicacion", F.month("date_of_listing"))
-    return score_requests(requests, trained.models, fx.centroids(spark, sf), sold,
-                          urban_limit=URBAN_LIMIT)
+    scored = score_requests(requests, trained.models, fx.centroids(spark, sf), sold,
+                            urban_limit=URBAN_LIMIT)
+    # Of the prices SQL can tell how they hang together, not what they are; a cent is lost to rounding.
+    total = F.col("precio_total")
+    band = ((F.abs(F.col("rango_min") - total * 0.88) <= 0.02) & (F.abs(F.col("rango_max") - total * 1.12) <= 0.02))
+    land = F.abs(total - F.col("precio_m2") * F.col("m2")) <= 0.01 + 0.01 * F.col("m2")
+    return scored.select("id_propiedad", "tipo_modelo", "cluster_zona", "m2", "moneda", "error",
+                         total.isNotNull().alias("con_precio"), band.alias("banda_del_12"),
+                         land.alias("total_por_m2"))
 
 
 def etl_load(spark, sf):
