@@ -540,6 +540,11 @@ FROM enriched WHERE cluster_zona IS NOT NULL GROUP BY 1, 2""",
 SELECT ciudad, centroide_lat, centroide_lng, total_propiedades, cluster_id, cast(tier AS int) AS tier,
        cast(total_propiedades AS bigint) AS propiedades, cast(1 AS bigint) AS clusters,
        cast(least(k + 5, total_propiedades // 5) AS bigint) AS k_maximo
+FROM medias JOIN ciudades USING (ciudad)""",
+    "zone_totals": """
+SELECT ciudad, cast(k AS bigint) AS zonas, cast(total_propiedades AS bigint) AS propiedades,
+       cast(k AS int) AS n_clusters_ciudad, round(cast(centroide_lat AS double), 3) AS centroide_lat,
+       round(cast(centroide_lng AS double), 3) AS centroide_lng
 FROM medias JOIN ciudades USING (ciudad)""",
     "zones_lloyd_2iter": """
 SELECT c.ciudad, c.cluster_id, c.clat AS centroide_lat, c.clng AS centroide_lng,

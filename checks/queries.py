@@ -253,6 +253,17 @@ def zones_kmeans(spark, sf):
     return build_zones(fx.crm(spark, sf), fx.AS_OF, fx.CITIES, fx.YEARS).table
 
 
+def zone_totals(spark, sf):
+    """Zones by city after the whole run: their number and points, and the mean of all points, which K-means keeps."""
+    table = build_zones(fx.crm(spark, sf), fx.AS_OF, fx.CITIES, fx.YEARS).table
+    n = F.sum("total_propiedades")
+    mean = {c: F.round(F.sum(F.col(c).cast("double") * F.col("total_propiedades")) / n, 3)
+            for c in ("centroide_lat", "centroide_lng")}
+    return table.groupBy("ciudad").agg(
+        F.count("*").alias("zonas"), n.alias("propiedades"), F.min("n_clusters_ciudad").alias("n_clusters_ciudad"),
+        *(v.alias(c) for c, v in mean.items()))
+
+
 def elbow_table(spark, sf):
     return elbow(fx.crm(spark, sf), fx.CITIES, fx.YEARS)
 
@@ -468,6 +479,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zones_k1": zones_k1,
     "zones_lloyd_2iter": zones_lloyd_2iter,
     "zones_kmeans": zones_kmeans,
+    "zone_totals": zone_totals,
     "elbow_table": elbow_table,
     "fk_violations": fk_violations,
     "fk_set_null": fk_set_null,
