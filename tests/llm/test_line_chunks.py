@@ -54,3 +54,37 @@ def test_chunks_give_the_text_again(spark):
     df = spark.createDataFrame([("a\nb\n\nc",), ("",), ("\n",), ("x\r\ny",)], "text string")
     joined = F.array_join(F.transform(L.chunked(F.col("text")), lambda c: c["chunk"]), "\n")
     assert df.filter(joined != F.col("text")).count() == 0
+
+
+def brute_runs(rows):
+    """Every line of every two adjacent lines that stand somewhere before, apart from them."""
+    docs = sorted({r for r in rows if r[1] is not None}, key=lambda r: (r[0] is not None, r[0] or 0))
+    seen, gone = {}, defaultdict(set)
+    for n, (d, t) in enumerate(docs):
+        lines = t.split("\n")
+        for i, pair in enumerate(zip(lines, lines[1:])):
+            m, at = seen.setdefault(pair, (n, i))
+            if m < n or i - at >= 2:
+                gone[d, t] |= {i, i + 1}
+    return sorted(((d, t, 0, 0) if t is None else (
+        d, "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[d, t]),
+        sum(i - 1 not in gone[d, t] for i in gone[d, t]), len(gone[d, t])) for d, t in rows), key=repr)
+
+
+def test_every_repeated_run_of_two_lines_goes(spark):
+    own = lambda k, n: "\n".join(f"own {k} {i}" for i in range(n))
+    rows = [(None, "x\ny\nz"), (0, None), (1, ""), (2, "one"), (3, "one"), (4, "a\na\na"), (5, "b\nb\nb\nb\nb"),
+            (6, "c\nd\nc\nd\nc\nd"), (7, "q\nx\ny\nr"), (7, "q\ny\nx\nr"), (8, own(8, 2000)), (8, own(8, 2000)),
+            (9, "\n".join(f"own 8 {i}" for i in range(5, 1900))), (10, "\n\n\n\n")]
+    for m in range(2, 20):  # passages of m lines, alone at their places but for foreign lines around them
+        passage = "\n".join(f"shared {m} {i}" for i in range(m))
+        rows += [(100 + m, f"{own(m, 3)}\n{passage}\n{own(-m, 2)}"), (200 + m, f"head {m}\n{passage}\ntail {m}"),
+                 (300 + m, f"{passage}\nhead {m}\nno\n{passage}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in L.dedup_line_runs(df.repartition(5)).collect()), key=repr)
+    assert got == brute_runs(rows)
+    cut = {d: (t, n) for d, t, _, n in got}
+    assert all(cut[200 + m] == (f"head {m}\ntail {m}", m) for m in range(2, 20))
+    kept = L.dedup_line_runs(df, carry=df.columns)
+    assert kept.select("carried.*").columns == df.columns
+    assert L.dedup_line_runs(df.limit(0)).count() == 0

@@ -3,6 +3,8 @@
 The lines of a text are hashed; a rolling hash over the last lines' hashes decides where a chunk ends, so boundaries
 depend on the lines around them and not on their place in the text. A chunk of several lines that occurs more than once
 in the corpus stays where it occurs first and is removed elsewhere.
+
+Chunks only find passages with boundaries inside them; ``dedup_line_runs`` finds every repeated run of two or more lines.
 """
 
 from __future__ import annotations
@@ -107,3 +109,72 @@ def dedup_line_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
             lost, F.lit(0), lambda a, c: a + c["n_lines"])).cast("long").alias("removed_lines"),
         "carried")
     return out if carry else out.drop("carried")
+
+
+def line_pairs(text: Column, key) -> Column:
+    """Array of (no, key) for every two adjacent lines of a text; ``no`` counts from 0. Empty for fewer than two lines."""
+    def pairs(lines: Column) -> Column:
+        firsts = F.slice(lines, 1, F.size(lines) - 1)
+        return F.transform(firsts, lambda x, i: F.struct(i.alias("no"), key(x, F.get(lines, i + 1)).alias("key")))
+
+    return _let(F.split(text, "\n", -1), pairs)
+
+
+def dedup_line_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    carry: Sequence[str] = ()) -> DataFrame:
+    """One row per row of ``df``: the id, ``kept_text``, ``n_removed`` runs, ``removed_lines``, and ``carried`` as above.
+
+    A line goes if it lies in two or more adjacent lines that also stand, adjacent and in this order, at an earlier
+    place: in a smaller id, or before and apart from them in the same text. Every such run is made of pairs of adjacent
+    lines with an earlier copy, so pairs find runs of any length to their last line, and a copy of every removed line
+    stays where it occurs first. Adjacent removed lines are one run. Rows, nulls and empty texts as in
+    ``dedup_line_chunks``; a text of one line never goes.
+
+    64-bit hashes only pick candidates; pairs are equal if their SHA-256 are. Texts are joined to the numbers of their
+    repeated pairs once.
+    """
+    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                     F.struct(*(carry or [F.lit(None).cast("int").alias("none")])).alias("carried"),
+                     F.xxhash64(text_col).alias("text_key"))
+
+    def exploded(key) -> DataFrame:
+        return docs.select("id", "text_key", F.explode(line_pairs(F.col("text"), key)).alias("p")).select(
+            "id", "text_key", "p.no", "p.key")
+
+    # Lines hold no line end, so joined pairs differ if their lines do.
+    digest = lambda a, b: F.struct(F.xxhash64(a, b).alias("low"),
+                                   F.unhex(F.sha2(F.concat(a, F.lit("\n"), b), 256)).alias("sha"))
+    place = F.struct(F.col("id"), F.col("text_key"), F.col("no"))
+    often = (exploded(F.xxhash64).groupBy("key").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+             .filter(~F.col("low").eqNullSafe(F.col("high"))).select("key"))
+    candidates = (exploded(digest).select("id", "text_key", "no", F.col("key.low").alias("key"), "key.sha")
+                  .join(often, "key", "left_semi").drop("key"))
+    first = candidates.groupBy("sha").agg(F.min(place).alias("first"))
+    same_text = F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.text_key") == F.col("text_key"))
+    again = (candidates.join(first, "sha").filter(~(same_text & (F.col("no") - F.col("first.no") < 2)))
+             .groupBy(F.col("id").alias("of_id"), F.col("text_key").alias("of_key"))
+             .agg(F.sort_array(F.collect_set("no")).alias("found")))
+    joined = docs.join(again, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("text_key") == F.col("of_key")), "left")
+
+    def runs(found: Column) -> Column:
+        starts = F.filter(found, lambda x, k: (k == 0) | (F.get(found, k - 1) < x - 2))
+        ends = F.filter(found, lambda x, k: (k == F.size(found) - 1) | (F.get(found, k + 1) > x + 2))
+        return F.zip_with(starts, ends, lambda s, e: F.struct(s.alias("start"), (e + 2).alias("end")))
+
+    def outside(lines: Column, gone: Column) -> Column:
+        def before(k: Column) -> Column:
+            start = F.when(k == 0, 0).otherwise(F.get(gone, k - 1)["end"])
+            end = F.when(k == F.size(gone), F.size(lines)).otherwise(F.get(gone, k)["start"])
+            return F.slice(lines, start + 1, end - start)
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), before))
+
+    touched = F.col("found").isNotNull()
+    kept = _let(F.split("text", "\n", -1), lambda lines: F.array_join(_let(
+        runs(F.col("found")), lambda gone: outside(lines, gone)), "\n"))
+    n_lines = F.aggregate(runs(F.col("found")), F.lit(0), lambda a, r: a + r["end"] - r["start"])
+    out = joined.select(
+        F.col("id").alias(id_col), F.when(touched, kept).otherwise(F.col("text")).alias("kept_text"),
+        F.when(touched, F.size(runs(F.col("found")))).otherwise(0).cast("long").alias("n_removed"),
+        F.when(touched, n_lines).otherwise(0).cast("long").alias("removed_lines"), "carried")
+    return out if carry else out.drop("carried")

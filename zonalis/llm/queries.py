@@ -44,6 +44,10 @@ def op2_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return line_chunks.dedup_line_chunks(table(spark, folder, "documents"))
 
 
+def op2_line_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return line_chunks.dedup_line_runs(table(spark, folder, "documents"))
+
+
 def op3_bm25_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return bm25_leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -100,6 +104,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_repeats": op1_suffix_repeats,
     "op2_line_chunks": op2_line_chunks,
+    "op2_line_runs": op2_line_runs,
     "op3_bm25_leaks": op3_bm25_leaks,
     "op4_warc": op4_warc,
     "op5_packing": op5_packing,
@@ -129,6 +134,19 @@ kept AS (SELECT doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY no) FILTER (
                 count(*) FILTER (gone) AS n_removed, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS removed_lines
          FROM marked GROUP BY doc_id)
 SELECT d.doc_id, k.kept_text, coalesce(k.n_removed, 0) AS n_removed, coalesce(k.removed_lines, 0) AS removed_lines
+FROM documents d LEFT JOIN kept k USING (doc_id)""",
+    "op2_line_runs": """
+WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+lines AS (SELECT doc_id, unnest(ls) AS l, unnest(range(0, len(ls))) AS no FROM split),
+pairs AS (SELECT *, lead(l) OVER (PARTITION BY doc_id ORDER BY no) AS l2 FROM lines),
+first AS (SELECT l, l2, min({'d': doc_id, 'n': no}) AS f FROM pairs WHERE l2 IS NOT NULL GROUP BY l, l2),
+again AS (SELECT doc_id, no FROM pairs p JOIN first USING (l, l2) WHERE doc_id <> f.d OR no - f.n >= 2),
+gone AS (SELECT doc_id, no FROM again UNION SELECT doc_id, no + 1 FROM again),
+marked AS (SELECT p.*, g.no IS NOT NULL AS gone FROM pairs p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.no = g.no),
+begun AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY no), false) AS begins FROM marked),
+kept AS (SELECT doc_id, coalesce(string_agg(l, chr(10) ORDER BY no) FILTER (NOT gone), '') AS kept_text,
+                count(*) FILTER (begins) AS n_removed, count(*) FILTER (gone) AS removed_lines FROM begun GROUP BY doc_id)
+SELECT d.doc_id, k.kept_text, coalesce(k.n_removed, 0) AS n_removed, coalesce(k.removed_lines, 0) AS removed_lines
 FROM documents d LEFT JOIN kept k USING (doc_id)""",
     "op4_warc": f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
