@@ -409,14 +409,22 @@ def model_type_counts(spark, sf):
     return reports.group_counts(_training(spark, sf), ["tipo_modelo"])
 
 
-def price_model_score(spark, sf):
+def _scored(spark, sf):
+    """Every request scored by models at the settings of the job."""
     sold = staged(_sold(spark, sf), "sold")
-    trained = train_models(sold, fx.AS_OF, URBAN_LIMIT,
-                           trees={**config.TREES, "maxIter": 3, "maxDepth": 4})
+    trained = train_models(sold, fx.AS_OF, URBAN_LIMIT)
     requests = _typed(fx.listings(spark, sf)).withColumn(
         "mes_publicacion", F.month("date_of_listing"))
-    scored = score_requests(requests, trained.models, fx.centroids(spark, sf), sold,
-                            urban_limit=URBAN_LIMIT)
+    return score_requests(requests, trained.models, fx.centroids(spark, sf), sold,
+                          urban_limit=URBAN_LIMIT)
+
+
+def price_model_prices(spark, sf):
+    return _scored(spark, sf)
+
+
+def price_model_score(spark, sf):
+    scored = _scored(spark, sf)
     # Of the prices SQL can tell how they hang together, not what they are; a cent is lost to rounding.
     total = F.col("precio_total")
     band = ((F.abs(F.col("rango_min") - total * 0.88) <= 0.02) & (F.abs(F.col("rango_max") - total * 1.12) <= 0.02))
@@ -502,5 +510,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "regression_metrics": regression_metrics,
     "model_type_counts": model_type_counts,
     "price_model_score": price_model_score,
+    "price_model_prices": price_model_prices,
     "etl_load": etl_load,
 }
