@@ -69,3 +69,16 @@ def test_stages_against_brute_force(spark):
 def test_run(spark):
     out = corpus_pipeline.run(spark, FOLDER)
     assert 0 < out.count() < spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+
+
+def test_language_rejects_by_score_and_passes_all_without_labels(spark):
+    english = "the weather was fine and the children went to the river with their friends in the morning"
+    german = "das wetter war gut und die kinder gingen am morgen mit ihren freunden an den breiten fluss"
+    docs = spark.createDataFrame([
+        (1, english, "en"), (2, "the river and the weather", "en"), (3, german, "de"), (4, "die kinder und der fluss", "de"),
+        (5, "the children and their friends", None), (6, "η βροχή έπεφτε όλη τη νύχτα στους δρόμους", None),
+        (7, "12 34", None), (8, None, None)], "doc_id long, text string, lang string")
+    kept = corpus_pipeline.language(spark, docs, FOLDER)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 4, 5]
+    bare = docs.withColumn("lang", docs["lang"].substr(1, 0)).replace("", None, "lang")
+    assert sorted(map(tuple, corpus_pipeline.language(spark, bare, FOLDER).collect())) == sorted(map(tuple, bare.collect()))

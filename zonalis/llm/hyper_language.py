@@ -21,6 +21,7 @@ DIMENSIONS = 1024
 GRAM = 3
 SEED = 1
 UNKNOWN = "und"
+ROUNDING = 1e-8  # scores of one text in two batches agree within it
 MAX_LANGUAGES = 5000
 TEXTS_AT_ONCE = 128
 GRAMS_AT_ONCE = 8192
@@ -87,7 +88,16 @@ def bundle(counted: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
 
 
 def fit_prototypes(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, np.ndarray]:
-    """Unit prototypes by language, from every row with a text and a language.
+    """Unit prototypes by language, from every row with a text and a language."""
+    return unit(fit_totals(df, text_col, lang_col))
+
+
+def unit(totals: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    return {k: v / n for k, v in totals.items() if (n := np.linalg.norm(v))}
+
+
+def fit_totals(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, np.ndarray]:
+    """Sums of the texts by language, from every row with a text and a language.
 
     Tasks return one sum per language. What reaches the driver is languages x dimensions numbers; more than
     ``MAX_LANGUAGES`` labels are refused.
@@ -122,7 +132,7 @@ def fit_prototypes(df: DataFrame, text_col: str = "text", lang_col: str = "lang"
     out: dict[str, np.ndarray] = {}
     for r in rows:
         out.setdefault(r["lang"], np.zeros(DIMENSIONS))[r["at"]] = r["total"]
-    return {k: v / n for k, v in sorted(out.items()) if (n := np.linalg.norm(v))}
+    return dict(sorted(out.items()))
 
 
 def predict_languages(df: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "doc_id",
@@ -152,3 +162,36 @@ def predict_languages(df: DataFrame, prototypes: dict[str, np.ndarray], id_col:
                     [part.column(0), pa.array(langs), pa.array(scores)], names=[id_col, "lang_pred", "score"])
 
     return df.select(id_col, text_col).mapInArrow(lean(run), f"`{id_col}` {id_type}, lang_pred string, score double")
+
+
+def score_floor(df: DataFrame, totals: dict[str, np.ndarray], text_col: str = "text", lang_col: str = "lang") -> float:
+    """The lowest score of all rows with a language and a letter, each scored without its own part in ``totals``.
+
+    With its own part a text scores no lower, so every labelled text reaches the floor. The only text of a language
+    has nothing left to be scored with and does not count; 0 if no row counts.
+    """
+    names = list(totals)
+    table = np.stack(list(totals.values())).T if names else np.zeros((DIMENSIONS, 0))
+    lengths = np.linalg.norm(table, axis=0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(start, TEXTS_AT_ONCE)
+                lowest = []
+                for lang, v in zip(part.column(0).to_pylist(), bundle([gram_counts(t.as_py()) for t in part.column(1)]),
+                                   strict=True):
+                    at = names.index(lang) if lang in totals else -1
+                    rest = table[:, at] - v
+                    size, left = np.linalg.norm(v), np.linalg.norm(rest)
+                    if at < 0 or not size or not left:
+                        continue
+                    cosines = (v @ table) / np.where(lengths, lengths, 1) / size
+                    cosines[at] = v @ rest / left / size
+                    lowest.append(float(np.clip(cosines.max(), 0, 1)))
+                if lowest:
+                    yield pa.RecordBatch.from_arrays([pa.array([min(lowest)])], names=["score"])
+
+    labelled = df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).dropna()
+    lowest = labelled.mapInArrow(lean(run), "score double").agg(F.min("score")).first()[0]
+    return 0.0 if lowest is None else lowest - ROUNDING
