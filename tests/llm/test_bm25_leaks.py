@@ -55,3 +55,11 @@ def test_slices_agree(spark, monkeypatch):
     whole = sorted(map(tuple, L.leaks(df, bench).collect()))
     monkeypatch.setattr(L, "INDEX_BYTES", 2000)
     assert sorted(map(tuple, L.leaks(df, bench).collect())) == whole and len(whole) >= 60
+
+
+def test_items_without_an_id_are_found(spark):
+    given = items(6)
+    bench = spark.createDataFrame([*given[:4], (None, given[4][1]), (None, given[5][1])], "item_id long, text string")
+    df = spark.createDataFrame([(1, given[4][1]), (2, given[5][1]), (3, given[0][1])], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.item_id) for r in L.leaks(df, bench).collect()))
+    assert got == [(1, None), (2, None), (3, 0)]

@@ -66,8 +66,8 @@ def share_found(grams: set[tuple[str, ...]], words: list[str]) -> float:
 class Index:
     """Postings of one slice of the items with weights by block."""
 
-    def __init__(self, items: list[tuple[int, str]], frequencies: dict[str, int], n_items: int, mean_words: float):
-        items = sorted((i, t) for i, t in items)
+    def __init__(self, items: list[tuple[int | None, str]], frequencies: dict[str, int], n_items: int, mean_words: float):
+        items = sorted(items, key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
         self.ids = [i for i, _ in items]
         split = [question_and_answer(t) for _, t in items]
         self.questions, self.answers = [grams_of(q) for q, _ in split], [grams_of(a) for _, a in split]
@@ -149,10 +149,10 @@ class Index:
 def build_indexes(items: DataFrame, item_col: str = "item_id", text_col: str = "text") -> list[Index]:
     """Indexes of slices of at most about ``INDEX_BYTES`` of item text; term statistics are those of all items.
 
-    Items without words are left out. Repeated item ids are items of their own.
+    Items without words are left out. Repeated and null item ids are items of their own.
     """
     given = items.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).filter(
-        F.col(item_col).isNotNull() & F.col(text_col).rlike(r"(?U)\w"))
+        F.col(text_col).rlike(r"(?U)\w"))
     size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = -(-size // INDEX_BYTES)
 
