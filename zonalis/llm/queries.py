@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, at production settings over whole tables."""
+"""The registered queries of the operators, at production settings over whole tables."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from zonalis.llm import (
     bm25_leaks,
     byte_bpe,
     cover_topk,
+    covering_simhash,
     hyper_language,
     license_scan,
     line_chunks,
@@ -19,6 +20,7 @@ from zonalis.llm import (
     suffix_repeats,
     trie_join,
     warc,
+    whitening,
 )
 from zonalis.sources.session import shared_folder
 
@@ -101,6 +103,14 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digests(table(spark, folder, "documents"))
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op13_covering_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return covering_simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_suffix_repeats": op1_suffix_repeats,
     "op2_line_chunks": op2_line_chunks,
@@ -113,6 +123,8 @@ QUERIES = {
     "op8_cover_topk": op8_cover_topk,
     "op9_trie_join": op9_trie_join,
     "op10_byte_bpe": op10_byte_bpe,
+    "op12_whitening": op12_whitening,
+    "op13_covering_simhash": op13_covering_simhash,
 }
 
 ORACLES: dict[str, str] = {
