@@ -16,6 +16,7 @@ from zonalis.llm import (
     hyper_language,
     license_scan,
     line_chunks,
+    norm_buckets,
     packing,
     suffix_repeats,
     trie_join,
@@ -103,6 +104,10 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digests(table(spark, folder, "documents"))
 
 
+def op11_norm_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    return norm_buckets.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"))
 
@@ -123,6 +128,7 @@ QUERIES = {
     "op8_cover_topk": op8_cover_topk,
     "op9_trie_join": op9_trie_join,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_norm_buckets": op11_norm_buckets,
     "op12_whitening": op12_whitening,
     "op13_covering_simhash": op13_covering_simhash,
 }
@@ -177,4 +183,21 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id,
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
              vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 20""",
+    "op11_norm_buckets": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+totals AS (SELECT count(*) FILTER (len(ts) > 0) AS nd, sum(len(ts))::BIGINT AS l FROM d),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM d) GROUP BY r, t),
+df AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(nd) + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+       FROM tf, totals GROUP BY t),
+asked AS (SELECT DISTINCT item_id, text, unnest(regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+m AS (SELECT r, doc_id, 10 + (90 * len(ts)::BIGINT * nd) // l AS m FROM d, totals WHERE len(ts) > 0),
+scores AS (SELECT item_id, text, doc_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+           FROM asked JOIN tf USING (t) JOIN df USING (t) JOIN m USING (r) GROUP BY ALL),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER)
+                     AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
