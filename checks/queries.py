@@ -18,9 +18,9 @@ from zonalis.operators import upsert as up
 from zonalis.operators import zones
 from zonalis.plans.cleaning import Cleaned, CleaningRules, clean
 from zonalis.plans.etl import derive_features, load, zone_statistics
-from zonalis.plans.pricing import score_requests, train_models
+from zonalis.plans.pricing import score_and_log, score_requests, train_models
 from zonalis.plans.zone_setup import build_zones, elbow
-from zonalis.sources import crm
+from zonalis.sources import crm, schemas
 from zonalis.sources.session import staged
 from zonalis.sources.tables import map_rows, zone_centroids
 
@@ -423,6 +423,15 @@ def price_model_prices(spark, sf):
     return _scored(spark, sf)
 
 
+def prediction_log(spark, sf):
+    """The log of all requests; its id is random and left out."""
+    sold = staged(_sold(spark, sf), "sold")
+    trained = train_models(sold, fx.AS_OF, URBAN_LIMIT)
+    requests = _typed(fx.listings(spark, sf)).withColumn("mes_publicacion", F.month("date_of_listing"))
+    done = score_and_log(requests, trained.models, fx.centroids(spark, sf), sold, fx.AS_OF, urban_limit=URBAN_LIMIT)
+    return schemas.stored(done.log, schemas.PREDICTION_LOG).drop("id_prediccion")
+
+
 def price_model_score(spark, sf):
     scored = _scored(spark, sf)
     # Of the prices SQL can tell how they hang together, not what they are; a cent is lost to rounding.
@@ -511,5 +520,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_type_counts": model_type_counts,
     "price_model_score": price_model_score,
     "price_model_prices": price_model_prices,
+    "prediction_log": prediction_log,
     "etl_load": etl_load,
 }
