@@ -1,8 +1,7 @@
 """Zone set-up: K-means per city for all cities at once.
 
-Points at the same place count as one place with a weight. One iteration is a
-broadcast of the current centroids and one partial aggregation, for all cities,
-numbers of zones and restarts together; only centroids leave the executors.
+Points at the same place count as one place with a weight. All cities, numbers of zones and
+restarts are iterated together (``operators.lloyd``); only centroids leave the executors.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonalis import config
-from zonalis.functions.geo import squared_distance
+from zonalis.operators.lloyd import iterate
 from zonalis.operators.lookups import broadcast_if_small
 from zonalis.operators.zones import _arrays, _distances, _nearest_id
 from zonalis.sources.session import small_checkpoint, staged
@@ -22,7 +21,6 @@ from zonalis.sources.session import small_checkpoint, staged
 # Centroids are kept with the decimals they are stored with: every partitioning
 # of the points then gives the same centroids.
 CENTROID_DECIMALS = 7
-PLACE = "decimal(10,7)"
 ITERATIONS = 300
 
 
@@ -55,42 +53,24 @@ def _with_nearest(spots: DataFrame, centroids: DataFrame, keys: Sequence[str],
 
 def lloyd(spots: DataFrame, start: DataFrame, keys: Sequence[str] = ("ciudad",), *,
           iterations: int = ITERATIONS, tolerance: float = 1e-4) -> DataFrame:
-    """Move centroids to the mean of their places until they stay.
+    """Move centroids to the mean of their places until they stay; see ``operators.lloyd``.
 
-    A centroid without places stays where it is. Stops when no centroid moves
-    further than ``tolerance`` degrees, and warns if some still do after
-    ``iterations``. Coordinates are summed as decimals, so the sums do not
-    depend on their order.
+    A centroid without places stays where it is. A run ends when none of its centroids moves
+    further than ``tolerance`` degrees; a warning tells if some still move after ``iterations``.
     """
-    keys = list(keys)
-    columns = [*keys, "cluster_id", "centroide_lat", "centroide_lng"]
-    centroids = small_checkpoint(start.select(
-        *keys, F.col("cluster_id").cast("int").alias("cluster_id"),
-        *[F.col(c).cast("double").alias(c) for c in columns[-2:]]))
-    total = centroids.count()
-    if not total:
-        return centroids
-    for _ in range(iterations):
-        def mean(c: str):
-            total_of = F.sum(F.col("peso") * F.col(c).cast(PLACE)).cast("double")
-            return F.round(total_of / F.sum("peso"), CENTROID_DECIMALS)
-
-        moved = (_with_nearest(spots, centroids, keys, total)
-                 .groupBy(*keys, "cluster_id")
-                 .agg(mean("lat").alias("_lat"), mean("lng").alias("_lng")))
-        step = small_checkpoint(
-            centroids.join(broadcast_if_small(moved, at_most=total), [*keys, "cluster_id"], "left")
-            .select(*columns, F.coalesce("_lat", "centroide_lat").alias("_lat"),
-                    F.coalesce("_lng", "centroide_lng").alias("_lng")))
-        shift = step.agg(F.max(squared_distance(
-            F.col("centroide_lat"), F.col("centroide_lng"), F.col("_lat"), F.col("_lng")))).first()[0]
-        centroids = step.select(*keys, "cluster_id", F.col("_lat").alias("centroide_lat"),
-                                F.col("_lng").alias("centroide_lng"))
-        if shift <= tolerance ** 2:
-            return centroids
-    warnings.warn(f"K-means stopped after {iterations} iterations; a centroid still moved {shift ** 0.5:.7f} degrees",
-                  stacklevel=2)
-    return centroids
+    return lloyd_runs(spots, start, keys, iterations=iterations, tolerance=tolerance).select(
+        *keys, "cluster_id", "centroide_lat", "centroide_lng")
+
+
+def lloyd_runs(spots: DataFrame, start: DataFrame, keys: Sequence[str] = ("ciudad",), *,
+               iterations: int = ITERATIONS, tolerance: float = 1e-4) -> DataFrame:
+    """The centroids of all runs with ``iteraciones``, ``movimiento`` (of the last one) and ``converge`` of their run."""
+    done = small_checkpoint(iterate(spots, start, keys, iterations, tolerance))
+    still = done.filter(~F.col("converge")).agg(F.max("movimiento"), F.count_distinct(*keys)).first()
+    if still[1]:
+        warnings.warn(f"K-means stopped after {iterations} iterations; {still[1]} runs still moved, a centroid by up to "
+                      f"{still[0]:.7f} degrees", stacklevel=3)
+    return done
 
 
 def inertia(spots: DataFrame, centroids: DataFrame, keys: Sequence[str]) -> DataFrame:
