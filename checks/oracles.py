@@ -546,6 +546,23 @@ SELECT ciudad, cast(k AS bigint) AS zonas, cast(total_propiedades AS bigint) AS
        cast(k AS int) AS n_clusters_ciudad, round(cast(centroide_lat AS double), 3) AS centroide_lat,
        round(cast(centroide_lng AS double), 3) AS centroide_lng
 FROM medias JOIN ciudades USING (ciudad)""",
+    "zone_means": """
+SELECT ciudad, cast(unnest(range(0, k)) AS int) AS cluster_id, true AS es_media, true AS cuenta_todas
+FROM medias JOIN ciudades USING (ciudad) WHERE total_propiedades >= 5""",
+    "elbow_facts": """
+SELECT ciudad, cast(unnest(range(2, least(20, total_propiedades // 10) + 1, 2)) AS int) AS k,
+       true AS suma_coincide, true AS menor_que_una_zona
+FROM medias JOIN ciudades USING (ciudad) WHERE tier = 1 AND total_propiedades >= 20""",
+    "zone_cascade": """
+SELECT id_propiedad, l.ciudad, l.latitude, l.longitude,
+       CASE WHEN cluster_zona <> 3 AND NOT (cluster_zona = 1 AND l.ciudad = 'NATION_1') THEN cluster_zona END
+         AS cluster_zona
+FROM fx_listings l LEFT JOIN places z
+  ON l.ciudad = z.ciudad AND l.latitude = z.latitude AND l.longitude = z.longitude""",
+    "extract_parts": """
+SELECT ciudad, tipo_transaccion, count(*) AS filas, cast(NULL AS varchar) AS error
+FROM extracto WHERE ciudad <> 'NATION_2' GROUP BY 1, 2
+UNION ALL SELECT 'NATION_2', tipo, NULL, 'sin conexión' FROM (VALUES ('Venta'), ('Alquiler')) v(tipo)""",
     "zones_lloyd_2iter": """
 SELECT c.ciudad, c.cluster_id, c.clat AS centroide_lat, c.clng AS centroide_lng,
        cast(coalesce(n, 0) AS bigint) AS total_propiedades
@@ -693,5 +710,14 @@ FROM (SELECT r.*, m.tipo_modelo IS NOT NULL AS known,
     "model_type_counts": "SELECT tipo_modelo, count(*) AS filas FROM train GROUP BY 1",
 }
 
+_QUERIES["etl_update"] = f"""
+SELECT id_propiedad, CASE WHEN conocida THEN 'V' || mlsid ELSE mlsid END AS mlsid, ciudad, tipo_transaccion,
+       cluster_zona, CASE WHEN conocida THEN 'antes' ELSE segmento END AS segmento, precio_publicacion, precio_venta,
+       precio_alquiler_mes, precio_m2, tiempo_en_mercado, numero_reducciones, status, ratio_activas_vendidas_zona,
+       diferencia_vs_promedio_zona, NOT conocida AS es_nueva, true AS llegada
+FROM (SELECT *, cast(id_propiedad AS bigint) % 3 = 0 AS conocida FROM ({_QUERIES["etl_load"]}))
+UNION ALL
+SELECT '-1', 'V', 'otra', 'Venta', {", ".join(["NULL"] * 11)}, false, false"""
+
 ORACLES: dict[str, str] = {
     name: _with(sql) for name, sql in _QUERIES.items()}

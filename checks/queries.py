@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,12 +17,13 @@ from zonalis.functions.values import missing_to_null
 from zonalis.operators import clustering, features, hull, market, model, quality, reports, roads
 from zonalis.operators import upsert as up
 from zonalis.operators import zones
+from zonalis.plans import extract
 from zonalis.plans.cleaning import Cleaned, CleaningRules, clean
-from zonalis.plans.etl import derive_features, load, zone_statistics
+from zonalis.plans.etl import derive_features, load, load_into, prepare, zone_statistics
 from zonalis.plans.pricing import score_and_log, score_requests, train_models
-from zonalis.plans.zone_setup import build_zones, elbow
-from zonalis.sources import crm, schemas
-from zonalis.sources.session import staged
+from zonalis.plans.zone_setup import build_zones, cascade, elbow
+from zonalis.sources import crm, schemas, versions
+from zonalis.sources.session import shared_folder, staged
 from zonalis.sources.tables import map_rows, zone_centroids
 
 RULES = CleaningRules(subtype_to_type=fx.SUBTYPE_TO_TYPE, floors=fx.FLOORS, sigmas=1.6)
@@ -268,6 +270,37 @@ def elbow_table(spark, sf):
     return elbow(fx.crm(spark, sf), fx.CITIES, fx.YEARS)
 
 
+def zone_means(spark, sf):
+    """Of every zone after the whole run: whether it lies at the mean of its members and counts them all."""
+    tables = fx.crm(spark, sf)
+    table = build_zones(tables, fx.AS_OF, fx.CITIES, fx.YEARS).table
+    points = crm.zone_points(tables, fx.CITIES, years=fx.YEARS)
+    members = zones.assign_nearest(points, table, out="cluster_id").groupBy("ciudad", "cluster_id").agg(
+        F.count("*").alias("n"), F.avg("latitude").alias("lat"), F.avg("longitude").alias("lng"))
+    # The last step of a run moves no centroid further than a ten-thousandth of a degree.
+    near = ((F.abs(F.col("centroide_lat") - F.col("lat")) <= 0.001)
+            & (F.abs(F.col("centroide_lng") - F.col("lng")) <= 0.001))
+    return table.join(members, ["ciudad", "cluster_id"], "left").select(
+        "ciudad", "cluster_id", F.coalesce(near, F.lit(False)).alias("es_media"),
+        F.coalesce(F.col("total_propiedades") == F.col("n"), F.lit(False)).alias("cuenta_todas"))
+
+
+def elbow_facts(spark, sf):
+    """Of every line of the elbow table: whether its inertia is that of its zones, summed again by zone and point."""
+    points = crm.zone_points(fx.crm(spark, sf), [c for c in fx.CITIES if c.tier == 1], years=fx.YEARS)
+    table, centroids = clustering.elbow_runs(points)
+    at = points.select("ciudad", "latitude", "longitude", F.monotonically_increasing_id().alias("punto"))
+    nearest = staged(at, "points").join(centroids, "ciudad").groupBy("ciudad", "k", "punto").agg(F.min(
+        F.pow(F.col("latitude") - F.col("centroide_lat"), 2)
+        + F.pow(F.col("longitude") - F.col("centroide_lng"), 2)).alias("d"))
+    again = nearest.groupBy("ciudad", "k").agg(F.sum("d").alias("suma"))
+    around = points.groupBy("ciudad").agg((F.var_pop("latitude") * F.count("*")
+                                           + F.var_pop("longitude") * F.count("*")).alias("total"))
+    return table.join(again, ["ciudad", "k"]).join(around, "ciudad").select(
+        "ciudad", "k", (F.abs(F.col("inercia") - F.col("suma")) <= 1e-6 * F.col("suma")).alias("suma_coincide"),
+        (F.col("inercia") < F.col("total")).alias("menor_que_una_zona"))
+
+
 def fk_violations(spark, sf):
     listings = fx.listings(spark, sf).select("id_propiedad", "ciudad", "latitude", "longitude")
     placed = zones.assign_nearest(listings, fx.centroids(spark, sf))
@@ -443,6 +476,70 @@ def price_model_score(spark, sf):
                          land.alias("total_por_m2"))
 
 
+def _fresh_folder(spark, name):
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+LOAD_SUBTYPES = {"SUB_AFRICA": "Casa", "SUB_AMERICA": "Departamento", "SUB_ASIA": "Terreno"}
+LOAD_OPTIONS = {"years": fx.YEARS, "department_subtypes": ["SUB_AMERICA"],
+                "rules": CleaningRules(subtype_to_type=LOAD_SUBTYPES, sigmas=1.6, floors=fx.FLOORS)}
+
+
+def etl_update(spark, sf):
+    """The load into a stored table that holds a third of the properties with older values, and one that does not arrive."""
+    tables, cents = fx.crm(spark, sf), fx.centroids(spark, sf)
+    first = prepare(tables, cents, fx.AS_OF, fx.CITIES, **LOAD_OPTIONS).rows
+    known = first.filter(F.col("id_propiedad").cast("long") % 3 == 0)
+    own = {"id_propiedad": "-1", "mlsid": "V", "tipo_propiedad": "Casa", "tipo_transaccion": "Venta", "ciudad": "otra"}
+    stays = spark.range(1).select(*[F.lit(own.get(c)).cast(t).alias(c) for c, t in known.dtypes])
+    older = known.withColumns({"precio_publicacion": F.col("precio_publicacion") / 2, "status": F.lit("Activa"),
+                               "cluster_zona": F.lit(None).cast("int"), "segmento": F.lit("antes"),
+                               "mlsid": F.concat(F.lit("V"), "mlsid")}).unionByName(stays)
+    stamps = {c: F.lit("2001-01-01").cast("timestamp_ntz") for c in ("fecha_carga", "fecha_actualizacion")}
+    path = _fresh_folder(spark, "analytics")
+    versions.write_buckets(older.withColumns(stamps), path, config.ANALYTICS_KEY, 16)
+    load_into(tables, cents, path, fx.AS_OF, fx.CITIES, **LOAD_OPTIONS)
+    return versions.read(spark, path).select(
+        "id_propiedad", "mlsid", "ciudad", "tipo_transaccion", "cluster_zona", "segmento", "precio_publicacion",
+        "precio_venta", "precio_alquiler_mes", "precio_m2", "tiempo_en_mercado", "numero_reducciones", "status",
+        F.round("ratio_activas_vendidas_zona", 6).alias("ratio_activas_vendidas_zona"),
+        F.round("diferencia_vs_promedio_zona", 6).alias("diferencia_vs_promedio_zona"),
+        (F.col("fecha_carga") > F.lit("2001-06-01").cast("timestamp_ntz")).alias("es_nueva"),
+        (F.col("fecha_actualizacion") > F.lit("2001-06-01").cast("timestamp_ntz")).alias("llegada"))
+
+
+def zone_cascade(spark, sf):
+    """Stored properties after zone 3 of every city is gone and zone 1 of one city has moved."""
+    placed = zones.assign_nearest(
+        fx.listings(spark, sf).select("id_propiedad", "ciudad", "latitude", "longitude"), fx.centroids(spark, sf))
+    path = _fresh_folder(spark, "placed")
+    versions.write_buckets(placed, path, "id_propiedad", 16)
+    before = fx.centroids(spark, sf)
+    moves = (F.col("cluster_id") == 1) & (F.col("ciudad") == "NATION_1")
+    after = before.filter("cluster_id <> 3").withColumn(
+        "centroide_lat", F.when(moves, F.col("centroide_lat") + 0.5).otherwise(F.col("centroide_lat")))
+    cascade(spark, path, up.zone_changes(before, after), "id_propiedad")
+    return versions.read(spark, path)
+
+
+BROKEN_CITY = "NATION_2"
+
+
+def extract_parts(spark, sf):
+    """The extract part by part while one city cannot be read: rows per part, and the error of the parts that failed."""
+    read = extract.listing_part(fx.crm(spark, sf), fx.YEARS)
+
+    def part(city, deal):
+        if city.name == BROKEN_CITY:
+            raise OSError("sin conexión")
+        return read(city, deal)
+
+    got = extract.extract_parts(spark, part, _fresh_folder(spark, "extract"), fx.CITIES)
+    return (got.data.groupBy("ciudad", "tipo_transaccion").agg(F.count("*").alias("filas"))
+            .withColumn("error", F.lit(None).cast("string"))
+            .unionByName(got.errors.withColumn("filas", F.lit(None).cast("long"))))
+
+
 def etl_load(spark, sf):
     tables = fx.crm(spark, sf)
     subtypes = {"SUB_AFRICA": "Casa", "SUB_AMERICA": "Departamento", "SUB_ASIA": "Terreno"}
@@ -498,6 +595,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zones_kmeans": zones_kmeans,
     "zone_totals": zone_totals,
     "elbow_table": elbow_table,
+    "zone_means": zone_means,
+    "elbow_facts": elbow_facts,
     "fk_violations": fk_violations,
     "fk_set_null": fk_set_null,
     "replace_city": replace_city,
@@ -522,4 +621,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_model_prices": price_model_prices,
     "prediction_log": prediction_log,
     "etl_load": etl_load,
+    "etl_update": etl_update,
+    "zone_cascade": zone_cascade,
+    "extract_parts": extract_parts,
 }

@@ -48,11 +48,13 @@ class Deal:
     closed_status_id: int
     label: str
     closed_status: str
+    # Where the price of the zone mean comes from: the listing, or the transaction of a listing that is closed.
+    listed_price: bool = False
 
 
 # Transaction types with their closed status.
 DEALS = (
-    Deal(1, 8, "Venta", "Venta Aceptada/Vendida"),
+    Deal(1, 8, "Venta", "Venta Aceptada/Vendida", listed_price=True),
     Deal(2, 7, "Alquiler", "Alquilado"),
 )
 ACTIVE_STATUS = "Activa"

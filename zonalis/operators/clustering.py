@@ -150,18 +150,26 @@ def with_members(spots: DataFrame, centroids: DataFrame) -> DataFrame:
                     F.coalesce("_n", F.lit(0).cast("bigint")).alias("total_propiedades")))
 
 
-def elbow_table(points: DataFrame, *, max_k: int = 20, restarts: int = 10, seed: int = 42,
-                iterations: int = ITERATIONS, tolerance: float = 1e-4,
-                min_points: int = config.MIN_ZONE_POINTS) -> DataFrame:
-    """Inertia per city for even numbers of zones, up to ``max_k`` and a tenth of the points."""
+def elbow_runs(points: DataFrame, *, max_k: int = 20, restarts: int = 10, seed: int = 42,
+               iterations: int = ITERATIONS, tolerance: float = 1e-4,
+               min_points: int = config.MIN_ZONE_POINTS) -> tuple[DataFrame, DataFrame]:
+    """The best restart of every city and even number of zones: (ciudad, k, inercia) and its centroids.
+
+    Up to ``max_k`` zones and a tenth of the points.
+    """
     spots = staged(places(points), "places")
     limit = F.least(F.lit(max_k), F.floor(F.col("propiedades") / 10)).cast("int")
     runs = small_checkpoint(
         city_sizes(spots, min_points).filter(limit >= 2)
         .select("ciudad", F.explode(F.sequence(F.lit(2), limit, F.lit(2))).alias("k"), "lugares"))
-    _, best = _best_runs(spots, runs, restarts=restarts, seed=seed, iterations=iterations,
-                         tolerance=tolerance, largest_k=max_k)
-    return best.select("ciudad", "k", "inercia")
+    final, best = _best_runs(spots, runs, restarts=restarts, seed=seed, iterations=iterations,
+                             tolerance=tolerance, largest_k=max_k)
+    return best.select("ciudad", "k", "inercia"), final.join(best.select(*RUN), list(RUN)).drop("intento")
+
+
+def elbow_table(points: DataFrame, **options) -> DataFrame:
+    """Inertia per city for even numbers of zones."""
+    return elbow_runs(points, **options)[0]
 
 
 def largest_recommended_k(n_clusters, properties):

@@ -86,3 +86,28 @@ def set_null_without_parent(child: DataFrame, parent: DataFrame, column: str = "
     """The child with ``column`` null where its parent does not exist (any more)."""
     checked = _has_parent(child, parent, keys)
     return checked.withColumn(column, F.when(F.col("_parent"), F.col(column))).select(*child.columns)
+
+
+def zone_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(ciudad, cluster_id, cambio) of the zones of ``old`` that are gone from ``new`` or lie elsewhere there."""
+    at = ("centroide_lat", "centroide_lng")
+    after = new.select("ciudad", "cluster_id", *[F.col(c).alias(f"_{c}") for c in at], F.lit(True).alias("_there"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in at])
+    return (lookup_join(old.select("ciudad", "cluster_id", *at), after, ["ciudad", "cluster_id"])
+            .filter(F.col("_there").isNull() | ~same)
+            .select("ciudad", "cluster_id",
+                    F.when(F.col("_there"), F.lit("movida")).otherwise(F.lit("eliminada")).alias("cambio")))
+
+
+def referring(child: DataFrame, changes: DataFrame, keys: Sequence[tuple[str, str]] = ZONE_REFERENCE) -> DataFrame:
+    """Child rows that refer to a changed parent."""
+    gone = changes.select(*[F.col(p).alias(c) for c, p in keys]).distinct()
+    return lookup_join(child, gone, [c for c, _ in keys], "left_semi").select(*child.columns)
+
+
+def set_null_where_changed(child: DataFrame, changes: DataFrame, column: str = "cluster_zona",
+                           keys: Sequence[tuple[str, str]] = ZONE_REFERENCE) -> DataFrame:
+    """The child with ``column`` null where its parent has changed."""
+    gone = changes.select(*[F.col(p).alias(c) for c, p in keys]).distinct().withColumn("_gone", F.lit(True))
+    return lookup_join(child, gone, [c for c, _ in keys]).withColumn(
+        column, F.when(F.col("_gone").isNull(), F.col(column))).select(*child.columns)

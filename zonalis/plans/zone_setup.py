@@ -6,13 +6,14 @@ import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from zonalis import config
 from zonalis.config import City
 from zonalis.functions.dates import instant
 from zonalis.operators import clustering
-from zonalis.sources import crm
+from zonalis.operators.upsert import referring, set_null_where_changed
+from zonalis.sources import crm, versions
 from zonalis.sources.session import staged
 
 
@@ -40,3 +41,20 @@ def build_zones(tables: crm.Tables, as_of: str | dt.date, cities: Iterable[City]
     found = clustering.city_zones(points, settings, **options)
     return Zones(clustering.zone_table(found, country, instant(as_of)),
                  clustering.zone_summary(found, settings))
+
+
+def cascade(spark: SparkSession, path: str, changes: DataFrame, key: str = config.ANALYTICS_KEY) -> tuple[int, ...]:
+    """Take the zone from stored properties that refer to a changed zone (``upsert.zone_changes``); the buckets written.
+
+    Only city and zone of the stored rows are read to find the buckets; buckets without such a row stay as they lie.
+    """
+    found = versions.manifest(spark, path)
+    if found is None:
+        return ()
+    changes = staged(changes, "zone_changes")
+    stored = versions.read(spark, path).select(key, "ciudad", "cluster_zona")
+    touched = tuple(versions.buckets_of(referring(stored, changes), key, found[3]))
+    if touched:
+        rows = set_null_where_changed(versions.read(spark, path, touched), changes)
+        versions.replace_buckets(spark, path, rows, touched, key)
+    return touched

@@ -185,36 +185,36 @@ def recent_prices(t: Tables, as_of: str | dt.date, deals: Iterable[Deal] = confi
                   statuses: Sequence[int] = config.CLOSED_TRANSACTION_STATUS_IDS) -> DataFrame:
     """Place and price per built m² of recent transactions.
 
-    A sale counts with its listing price; a rental with its transaction price,
-    and only while the listing has the closed status.
+    Each deal states its source: the listing price (sales), or the transaction price while the listing has
+    the closed status (rentals). Any number of deals is one query.
     """
     deals = tuple(deals)
-    sale, rental = deals[0], deals[1]
+    spark = t["listings"].sparkSession
+    source = F.broadcast(constant_frame(
+        spark, [(d.type_id, d.label, d.closed_status_id, int(d.listed_price)) for d in deals],
+        "transaction_type_id int, tipo_transaccion string, closed_id int, listed int"))
     sold = (_closed_transactions(t, deals, statuses)
-            .filter(in_last_months(F.col("sold_date"), months, as_of)))
+            .filter(in_last_months(F.col("sold_date"), months, as_of))
+            .select("listing_id", F.col("transaction_type_id").alias("sold_type_id"), "current_listing_price"))
     built = (t["listings_information"].filter(F.col("construction_area_m") > 0)
              .select("listing_id", "construction_area_m"))
     known = t["listing_transaction_types"].select(F.col("id").alias("transaction_type_id"))
-    listing = (t["listings"].select(F.col("id").alias("listing_id"), "transaction_type_id",
-                                    "status_listing_id")
-               .join(known, "transaction_type_id"))
-
-    def priced(deal: Deal, priced_rows: DataFrame, listings: DataFrame) -> DataFrame:
-        return (listings.filter(F.col("transaction_type_id") == deal.type_id)
-                .join(priced_rows, "listing_id").join(built, "listing_id")
-                .join(_located(t), "listing_id")
-                .select("ciudad", F.lit(deal.label).alias("tipo_transaccion"),
-                        "latitude", "longitude",
-                        ratio(F.col("price"), F.col("construction_area_m")).alias("precio_m2")))
-
-    sale_prices = (sold.filter(F.col("transaction_type_id") == sale.type_id).select("listing_id")
-                   .join(t["listing_prices"].filter(F.col("amount") > 0)
-                         .select("listing_id", F.col("amount").alias("price")), "listing_id"))
-    rental_prices = (sold.filter((F.col("transaction_type_id") == rental.type_id)
-                                 & (F.col("current_listing_price") > 0))
-                     .select("listing_id", F.col("current_listing_price").alias("price")))
-    closed = listing.filter(F.col("status_listing_id") == rental.closed_status_id)
-    return priced(sale, sale_prices, listing).unionByName(priced(rental, rental_prices, closed))
+    listed = t["listing_prices"].filter(F.col("amount") > 0).select(F.col("listing_id").alias("priced_id"), "amount")
+    # Differences are no join keys: the big tables stay partitioned by listing alone.
+    same_type = (F.col("transaction_type_id") - F.col("sold_type_id")) == 0
+    # A listing's own prices only meet the rows that are priced by them.
+    own = (F.col("listing_id") == F.col("priced_id")) & ((F.col("listed") - 1) == 0)
+    price = F.when(F.col("listed") == 1, F.col("amount")).otherwise(F.col("current_listing_price"))
+    counts = (F.col("listed") == 1) | (F.col("status_listing_id") == F.col("closed_id"))
+    return (t["listings"].select(F.col("id").alias("listing_id"), "transaction_type_id", "status_listing_id")
+            .join(source, "transaction_type_id").filter(counts)
+            .join(known, "transaction_type_id")
+            .join(sold, "listing_id").filter(same_type)
+            .join(listed, own, "left")
+            .withColumn("price", price).filter(F.col("price") > 0)
+            .join(built, "listing_id").join(_located(t), "listing_id")
+            .select("ciudad", "tipo_transaccion", "latitude", "longitude",
+                    ratio(F.col("price"), F.col("construction_area_m")).alias("precio_m2")))
 
 
 def zone_points(t: Tables, cities: Iterable[City] = config.CITIES,
