@@ -11,11 +11,13 @@ from __future__ import annotations
 import base64
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from functools import lru_cache
+from types import MappingProxyType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -24,10 +26,12 @@ from zonalis.llm.common import lean
 LEAF_BYTES = 16
 SEAM_BYTES = 16
 LONG_BYTES = 64
-KEPT_PIECES = 300_000
+KEPT_PIECES = 150_000
+CHARACTERS_AT_ONCE = 1 << 20
+PIECES_AT_ONCE = 250_000
+NO_RANK = np.int32(0x7FFFFFFF)
 KEPT_PAIRS = 100_000
 DECODE_LEAF = 4096
-OUT_BYTES = 8 << 20
 
 # What Unicode calls White_Space, and the letters and numbers up to U+00FF.
 SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -51,15 +55,15 @@ class ByteBpe:
         classed = _space_classes(pattern)
         self._any = regex.compile(classed)
         self._latin = _latin_pattern(classed)
-        self._packed = _Packed(self)
+        self._packed, self._before = _Packed(self), {}
+        self._pairs = _Pairs(ranks)
         self._words = [np.uint32(r).astype("<u4").tobytes() for r in range(len(self.tokens))]
         self.stable = lru_cache(KEPT_PAIRS)(self._stable)
         self._short = lru_cache(KEPT_PAIRS)(self._merge)
 
     def split(self, text: str) -> list[str]:
         """Matches of the pattern; texts within Latin-1 take the standard library's faster engine."""
-        found = self._latin if self._latin and (text.isascii() or max(text) <= "\xff") else self._any
-        return found.findall(text)
+        return (self._latin if self._latin and _within_latin(text) else self._any).findall(text)
 
     def encode_piece(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -67,7 +71,67 @@ class ByteBpe:
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self._packed.__getitem__, self.split(text)))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of several texts; the leaves of all pieces not seen lately are merged together."""
+        split, out, start, size = [self.split(t) for t in texts], [], 0, 0
+        for end, pieces in enumerate([*split, None]):
+            if end > start and (pieces is None or size + len(pieces) > PIECES_AT_ONCE):
+                if end == start + 1:
+                    out.append(b"".join(self._pack_parts(split[start])))
+                else:
+                    self._learn(set().union(*split[start:end]))
+                    out += [b"".join(map(self._packed.__getitem__, p)) for p in split[start:end]]
+                start, size = end, 0
+            size += len(pieces or ())
+        return out
+
+    def _pack_parts(self, pieces: list[str]) -> Iterator[bytes]:
+        for start in range(0, len(pieces), PIECES_AT_ONCE):
+            part = pieces[start:start + PIECES_AT_ONCE]
+            self._learn(set(part))
+            yield b"".join(map(self._packed.__getitem__, part))
+
+    def forget(self) -> None:
+        """Free what is kept between texts."""
+        self._packed.clear()
+        self._before.clear()
+        self.stable.cache_clear()
+        self._short.cache_clear()
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Put the packed ids of pieces that are not kept yet into the table."""
+        kept = self._packed
+        new = pieces.difference(kept)
+        again = new.intersection(self._before)
+        kept.update((p, self._before[p]) for p in again)
+        new -= again
+        if len(kept) + len(new) > KEPT_PIECES:
+            # Pieces seen since the last time stay for one more turn.
+            self._before = dict(kept)
+            kept.clear()
+            kept.update((p, self._before[p]) for p in pieces.intersection(self._before))
+        rank, words = self.ranks.get, self._words
+        short, raw, long = [], [], []
+        for p in new:
+            b = p.encode("utf-8", "surrogatepass")
+            r = rank(b)
+            if r is not None:
+                kept[p] = words[r]
+            elif len(b) <= LEAF_BYTES:
+                short.append(p)
+                raw.append(b)
+            else:
+                long.append((p, b))
+        leaves = list({leaf for _, b in long for leaf in _leaves(b)})
+        merged = self._pairs.merge_all(raw + leaves)
+        kept.update(zip(short, merged, strict=False))
+        known = {leaf: np.frombuffer(m, "<u4").tolist() for leaf, m in zip(leaves, merged[len(raw):], strict=True)}
+        for p, b in long:
+            ids = self._tree(b, known)
+            if len(ids) <= 64:
+                kept[p] = b"".join(map(words.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> bytes:
         if len(ids) <= DECODE_LEAF:
@@ -78,11 +142,12 @@ class ByteBpe:
     def pack(self, piece: bytes) -> bytes:
         return b"".join(map(self._words.__getitem__, self.encode_piece(piece)))
 
-    def _tree(self, piece: bytes) -> list[int]:
+    def _tree(self, piece: bytes, known: Mapping[bytes, list[int]] = MappingProxyType({})) -> list[int]:
+        """Halves encoded and joined; ``known`` has the ids of some leaves."""
         if len(piece) <= LEAF_BYTES:
-            return self._merge(piece)
+            return known[piece] if piece in known else self._merge(piece)
         half = len(piece) // 2
-        return self._join(self._tree(piece[:half]), self._tree(piece[half:]))
+        return self._join(self._tree(piece[:half], known), self._tree(piece[half:], known))
 
     def _join(self, left: list[int], right: list[int]) -> list[int]:
         i = j = 1
@@ -142,6 +207,78 @@ class ByteBpe:
         return out
 
 
+def _within_latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def _leaves(piece: bytes) -> Iterator[bytes]:
+    """The parts that ``ByteBpe._tree`` begins with."""
+    if len(piece) <= LEAF_BYTES:
+        yield piece
+    else:
+        half = len(piece) // 2
+        yield from _leaves(piece[:half])
+        yield from _leaves(piece[half:])
+
+
+class _Pairs:
+    """Ranks of neighbouring tokens as sorted arrays, to merge many short parts at once."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        found = sorted((ranks[t[:i]] << 32 | ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t))
+                       if t[:i] in ranks and t[i:] in ranks)
+        self.keys = np.array([k for k, _ in found], np.int64)
+        self.ranks = np.array([r for _, r in found], np.int32)
+        self.bytes = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
+        first, second = np.divmod(np.arange(1 << 16), 256)
+        self.first = self._of(self.bytes[first], self.bytes[second]).reshape(256, 256)
+
+    def _of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(left), NO_RANK)
+        wanted = (left << 32) | right
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, self.ranks[at], NO_RANK)
+
+    def merge_all(self, parts: list[bytes]) -> list[bytes]:
+        """Packed ids of every part: of all pairs that of lowest rank, leftmost first, is merged until none has a rank."""
+        out = [b""] * len(parts)
+        sizes = np.array([len(p) for p in parts], np.int64)
+        for size in np.unique(sizes).tolist():
+            rows = np.flatnonzero(sizes == size)
+            raw = np.frombuffer(b"".join([parts[i] for i in rows.tolist()]), np.uint8).reshape(len(rows), size)
+            ids, rank = self.bytes[raw], np.ascontiguousarray(self.first[raw[:, :-1], raw[:, 1:]])
+            while len(rows):
+                best = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(rows), np.int64)
+                lowest = rank[np.arange(len(rows)), best] if rank.shape[1] else np.full(len(rows), NO_RANK)
+                done = lowest == NO_RANK
+                packed, width = ids[done].astype("<u4").tobytes(), 4 * ids.shape[1]
+                for at, i in enumerate(rows[done].tolist()):
+                    out[i] = packed[at * width:(at + 1) * width]
+                go = ~done
+                rows, best, lowest, ids, rank = rows[go], best[go], lowest[go], ids[go], rank[go]
+                if not len(rows):
+                    break
+                at, column = np.arange(len(rows)), np.arange(ids.shape[1] - 1)
+                ids[at, best] = lowest
+                ids = ids.ravel()[(at * ids.shape[1])[:, None] + column + (column > best[:, None])]
+                column = column[:-1]
+                rank = rank.ravel()[(at * rank.shape[1])[:, None] + column + (column >= best[:, None])]
+                if not rank.shape[1]:
+                    continue
+                right = np.flatnonzero(best < rank.shape[1])
+                rank[right, best[right]] = self._of(ids[right, best[right]], ids[right, best[right] + 1])
+                left = np.flatnonzero(best > 0)
+                rank[left, best[left] - 1] = self._of(ids[left, best[left] - 1], ids[left, best[left]])
+        return out
+
+
 class _Packed(dict):
     """Packed ids of pieces seen lately; emptied when full, so a worker's memory stays bounded."""
 
@@ -198,12 +335,20 @@ def _encoder(key: tuple, ranks: bytes, pattern: str) -> ByteBpe:
     return _LOADED[key]
 
 
+def _runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about ``CHARACTERS_AT_ONCE`` bytes."""
+    sizes = np.nan_to_num(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.float64))
+    run = (np.cumsum(sizes) // CHARACTERS_AT_ONCE).astype(np.int64)
+    starts = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1]))[:len(run)]).tolist()
+    return zip(starts, [*starts[1:], len(run)], strict=True)
+
+
 def encode_texts(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
                  decode: bool = True) -> DataFrame:
     """One row per row of ``df``: the id, ``ids`` and ``decoded``.
 
     ``ids`` are little-endian unsigned 32-bit integers, ``decoded`` the bytes they stand for (null with
-    ``decode=False``). No shuffle; a worker holds one batch and a bounded table of pieces. A null text is an empty one.
+    ``decode=False``). No shuffle; a worker holds one batch and, until its task ends, a bounded table of pieces. A null text is an empty one.
     Null or repeated ids are carried through. Other columns are not read.
     """
     with open(ranks_path, "rb") as file:
@@ -214,17 +359,16 @@ def encode_texts(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _encoder(key, shared.value, pattern)
-        for batch in batches:
-            start, size, ids, plain = 0, 0, [], []
-            for i, text in enumerate(batch.column(1)):
-                packed = bpe.encode(text.as_py() or "")
-                ids.append(packed)
-                plain.append(bpe.decode(np.frombuffer(packed, "<u4").tolist()) if decode else None)
-                size += 2 * len(packed)
-                if size >= OUT_BYTES or i + 1 == batch.num_rows:
+        try:
+            for batch in batches:
+                for start, end in _runs(batch.column(1)):
+                    texts = [t or "" for t in batch.column(1).slice(start, end - start).to_pylist()]
+                    ids = bpe.encode_all(texts)
+                    plain = [bpe.decode(np.frombuffer(x, "<u4").tolist()) if decode else None for x in ids]
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(start, i + 1 - start), pa.array(ids, pa.binary()),
+                        [batch.column(0).slice(start, end - start), pa.array(ids, pa.binary()),
                          pa.array(plain, pa.binary())], names=[id_col, "ids", "decoded"])
-                    start, size, ids, plain = i + 1, 0, [], []
+        finally:
+            bpe.forget()
 
     return df.select(id_col, text_col).mapInArrow(lean(run), f"`{id_col}` {id_type}, ids binary, decoded binary")

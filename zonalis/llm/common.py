@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,16 +36,53 @@ def expand(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
-def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-    """A function for ``mapInArrow`` that gives freed memory back: workers live on after a task, and Arrow keeps it."""
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on after a task, and Arrow and the C library keep it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+         forget: Callable[[], object] | None = None):
+    """A function for ``mapInArrow`` that frees its tables (``forget``) and gives memory back when the task ends."""
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from run(batches)
-        pa.default_memory_pool().release_unused()
+        try:
+            yield from run(batches)
+        finally:
+            if forget:
+                forget()
+            give_back()
+
+    return whole
+
+
+def lean_group(run: Callable[[pa.Table], pa.Table], forget: Callable[[], object] | None = None):
+    """The same for ``applyInArrow`` on groups, after every group."""
+
+    def whole(table: pa.Table) -> pa.Table:
+        return _finished(run(table), forget)
 
     return whole
 
 
+def lean_pair(run: Callable[[tuple, pa.Table, pa.Table], pa.Table], forget: Callable[[], object] | None = None):
+    """The same for ``applyInArrow`` on pairs of groups and their key."""
+
+    def whole(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        return _finished(run(key, left, right), forget)
+
+    return whole
+
+
+def _finished(out: pa.Table, forget: Callable[[], object] | None) -> pa.Table:
+    if forget:
+        forget()
+    give_back()
+    return out
+
+
 def in_blocks(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
     """(block, packed): the documents by block, compressed for the shuffle; and the number of blocks.
 
@@ -123,7 +162,7 @@ def count_hashes(packed: DataFrame) -> DataFrame:
         return pa.table({"bucket": table["bucket"], "block": table["block"],
                          "hashes": pa.array(out_hashes, pa.binary()), "counts": pa.array(out_counts, pa.binary())})
 
-    return packed.groupBy("bucket").applyInArrow(total, PACKED)
+    return packed.groupBy("bucket").applyInArrow(lean_group(total), PACKED)
 
 
 class Totals:

@@ -30,14 +30,14 @@ GRAMS_AT_ONCE = 8192
 @lru_cache(1)
 def _letters() -> np.ndarray:
     """For every code point its own number if it is a letter, else 0."""
-    table = np.zeros(0x110000, np.int64)
+    table = np.zeros(0x110000, np.int32)
     for c in range(0x110000):
         if chr(c).isalpha():
             table[c] = c
     return table
 
 
-@lru_cache(1 << 16)
+@lru_cache(1 << 12)
 def _letter_vector(code: int) -> np.ndarray:
     draws = np.random.Generator(np.random.PCG64([SEED, code])).integers(0, 2, DIMENSIONS, np.int8)
     return 2 * draws - 1
@@ -49,7 +49,7 @@ def gram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     A run of other characters is one separator, as are both ends. Without a letter both arrays are empty.
     """
     codes = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = np.concatenate(([0], _letters()[codes], [0]))
+    codes = np.concatenate(([0], _letters()[codes], [0])).astype(np.int64)
     codes = codes[np.concatenate(([True], (codes[1:] != 0) | (codes[:-1] != 0)))]
     if len(codes) < GRAM:
         return np.empty(0, np.int64), np.empty(0, np.int64)

@@ -17,7 +17,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonalis.llm.common import PACKED, Totals, connected_components, count_hashes, documents_of, in_blocks, mix, pack
+from zonalis.llm.common import (
+    PACKED,
+    Totals,
+    connected_components,
+    count_hashes,
+    documents_of,
+    in_blocks,
+    lean_group,
+    lean_pair,
+    mix,
+    pack,
+)
 from zonalis.sources.session import staged
 
 WORDS = 5
@@ -46,6 +57,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
+def _forget_powers() -> None:
+    _POWERS[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of each word of ``data`` with A-Z in lower case."""
     b = np.frombuffer(data.lower(), np.uint8)
@@ -239,9 +254,9 @@ def ngram_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
                         names=["id", "n", "sign", "grams"])
 
-    packed = docs.groupBy("block").applyInArrow(hashes, PACKED)
+    packed = docs.groupBy("block").applyInArrow(lean_group(hashes, _forget_powers), PACKED)
     facts = staged(docs.groupBy("block").cogroup(count_hashes(packed).groupBy("block")).applyInArrow(
-        passing, "id long, n long, sign binary, grams binary"), "trie-facts")
+        lean_pair(passing, _forget_powers), "id long, n long, sign binary, grams binary"), "trie-facts")
 
     # One set per class of equal sets, under the smallest id.
     classes = facts.filter("n > 0").groupBy("sign").agg(F.min("id").alias("class"))
@@ -269,8 +284,8 @@ def ngram_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                          "gram": pa.array(np.concatenate(grams), pa.int64())})
 
     sets_of = kept.groupBy("block")
-    shared = staged(sets_of.cogroup(count_hashes(kept.groupBy("block").applyInArrow(own, PACKED)).groupBy("block"))
-                    .applyInArrow(rare, "id long, gram long"), "trie-rare")
+    shared = staged(sets_of.cogroup(count_hashes(kept.groupBy("block").applyInArrow(lean_group(own), PACKED)).groupBy("block"))
+                    .applyInArrow(lean_pair(rare), "id long, gram long"), "trie-rare")
     hubs = shared.groupBy("gram").agg(F.min("id").alias("hub"))
     cells = connected_components(
         shared.join(hubs, "gram").filter("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(),
