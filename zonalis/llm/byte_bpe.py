@@ -9,6 +9,7 @@ the two pairs at the edges of the window are. Decoding concatenates the bytes of
 from __future__ import annotations
 
 import base64
+import gc
 import heapq
 import re
 from collections.abc import Iterator, Mapping
@@ -332,6 +333,7 @@ def _encoder(key: tuple, ranks: bytes, pattern: str) -> ByteBpe:
         _LOADED.clear()
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         _LOADED[key] = ByteBpe(table, pattern)
+        gc.freeze()  # the vocabulary stays: the collector need not walk it again and again
     return _LOADED[key]
 
 
@@ -344,8 +346,8 @@ def _runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
 
 
 def encode_texts(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-                 decode: bool = True) -> DataFrame:
-    """One row per row of ``df``: the id, ``ids`` and ``decoded``.
+                 decode: bool = True, width: int = 4) -> DataFrame:
+    """One row per row of ``df``: the id, ``ids`` and ``decoded``; ids take ``width`` bytes each (4, or 2 if all fit).
 
     ``ids`` are little-endian unsigned 32-bit integers, ``decoded`` the bytes they stand for (null with
     ``decode=False``). No shuffle; a worker holds one batch and, until its task ends, a bounded table of pieces. A null text is an empty one.
@@ -365,6 +367,8 @@ def encode_texts(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
                     texts = [t or "" for t in batch.column(1).slice(start, end - start).to_pylist()]
                     ids = bpe.encode_all(texts)
                     plain = [bpe.decode(np.frombuffer(x, "<u4").tolist()) if decode else None for x in ids]
+                    if width == 2:
+                        ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).slice(start, end - start), pa.array(ids, pa.binary()),
                          pa.array(plain, pa.binary())], names=[id_col, "ids", "decoded"])

@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonalis.llm.byte_bpe import encode_texts
-from zonalis.llm.common import BLOCKS_PER_PARTITION
+from zonalis.llm.byte_bpe import encode_texts, load_ranks
+from zonalis.llm.common import BLOCKS_PER_PARTITION, lean_group
 
 CAPACITY = 2048
 END = 50256
@@ -89,7 +89,9 @@ def pack_sequences(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "
     their number grows with the input's partitions. Copies under different ids spread over all shards.
     """
     shards = BLOCKS_PER_PARTITION * max(1, df.rdd.getNumPartitions())
-    tokens = encode_texts(df, ranks_path, pattern, id_col, text_col, decode=False)
+    # Ids of a vocabulary of up to 65,536 tokens are shuffled in two bytes each.
+    width = 2 if max(load_ranks(ranks_path).values(), default=0) < 1 << 16 else 4
+    tokens = encode_texts(df, ranks_path, pattern, id_col, text_col, decode=False, width=width)
     tokens = tokens.select(F.pmod(F.xxhash64(id_col, "ids"), F.lit(shards)).cast("int").alias("shard"),
                            F.col(id_col).cast("long").alias("doc"), "ids")
 
@@ -97,7 +99,7 @@ def pack_sequences(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "
         rows = sorted(zip(table["doc"].to_pylist(), table["ids"].to_pylist(), strict=True),
                       key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
         docs = [d for d, _ in rows]
-        ids = [np.append(np.frombuffer(x, "<u4"), np.uint32(end)) for _, x in rows]
+        ids = [np.append(np.frombuffer(x, f"<u{width}").astype("<u4"), np.uint32(end)) for _, x in rows]
         pieces = [(i, start, min(capacity, len(x) - start)) for i, x in enumerate(ids)
                   for start in range(0, len(x), capacity)]
         out: dict[str, list] = {c: [] for c in ("doc_ids", "offsets", "cu_seqlens", "ids", "positions")}
@@ -121,7 +123,7 @@ def pack_sequences(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "
             "cu_seqlens": pa.array(out["cu_seqlens"], pa.list_(pa.int32())),
             "ids": pa.array(out["ids"], pa.binary()), "positions": pa.array(out["positions"], pa.binary())})
 
-    return tokens.groupBy("shard").applyInArrow(run, PACKED_ROWS)
+    return tokens.groupBy("shard").applyInArrow(lean_group(run), PACKED_ROWS)
 
 
 def id_matrices(packed: DataFrame) -> DataFrame:
