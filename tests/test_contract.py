@@ -27,3 +27,12 @@ def test_query_equals_its_sql(spark, name):
     want = database(FOLDER).execute(contract.oracle_sql()[name]).df()
     got = contract.queries()[name](spark, FOLDER).toPandas()
     assert difference(got, want) is None
+
+
+def test_cleaning_outputs_read_one_written_frame(spark):
+    from checks.queries import _cleaned
+    cleaned = _cleaned(spark, FOLDER)
+    for out in (cleaned.kept, cleaned.rejects):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Aggregate" not in plan and "Join" not in plan
+    assert sum(r["filas"] for r in cleaned.counters.collect()) == cleaned.checked.count()

@@ -145,3 +145,15 @@ def test_extract_in_parts(spark, tmp_path):
     assert again.data.count() == 12 and again.errors.count() == 0
     none = extract.extract_parts(spark, lambda c, d: 1 / 0, str(tmp_path / "y"), cities, deals)
     assert none.data is None and none.errors.count() == 4
+
+
+def test_stages_leave_by_age(spark):
+    import datetime as dt
+
+    from zonalis.sources.session import staged
+    old = staged(spark.range(3), "old-stage").inputFiles()[0].split("/")[-2]
+    assert versions.remove_stages(spark, dt.timedelta(days=1)) == []
+    fs, place = versions.file_system(spark, f"{versions.shared_folder(spark)}/stage/{old}")
+    fs.setTimes(place, 1000, 1000)
+    assert versions.remove_stages(spark, dt.timedelta(days=1)) == [old]
+    assert old not in versions.listed(spark, f"{versions.shared_folder(spark)}/stage")

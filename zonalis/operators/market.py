@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from zonalis.functions.prices import effective_price
 from zonalis.functions.values import null_if_zero
+from zonalis.sources.session import staged
 
 ALL = "todos"
 YEAR = "anio"
@@ -93,8 +94,8 @@ def min_max_weight(df: DataFrame, column: str, out: str = "peso") -> DataFrame:
 
 
 def price_weight(df: DataFrame, price: str, out: str = "peso") -> DataFrame:
-    """The rows with a positive price, weighted by it."""
-    return min_max_weight(df.filter(F.col(price) > 0), price, out)
+    """The rows with a positive price, weighted by it. They are written once; the two ends read one column of them."""
+    return min_max_weight(staged(df.filter(F.col(price) > 0), "priced"), price, out)
 
 
 def activity_grid(records: DataFrame, step: float, lat: str = "lat", lng: str = "lng") -> DataFrame:

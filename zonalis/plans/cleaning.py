@@ -56,7 +56,7 @@ def clean(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Cleaned:
 
     The row-wise checks are one pass. Their result is written once, because the
     two outlier steps need statistics over the survivors of the step before:
-    each is one aggregation over three or four columns of the written frame.
+    each is one aggregation over three or four columns of the written frame. The result is written as well.
     """
     source = missing_to_null(raw)
     flagged = q.flag_last(source, "id_propiedad", rules.latest_by)
@@ -103,4 +103,5 @@ def clean(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Cleaned:
         "paso": F.when(low, F.lit("precio_minimo"))
                  .when(other_deal, F.lit("otra_transaccion")).otherwise(F.col("paso")),
     }).drop("_below")
-    return Cleaned(checked)
+    # Written once: kept rows, rejects, reports and counters read this frame and repeat no outlier statistics.
+    return Cleaned(staged(checked, "checked"))

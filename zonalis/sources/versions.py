@@ -7,6 +7,7 @@ complete, so a job that ends half-way leaves the version before.
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 import uuid
 from collections.abc import Iterable, Sequence
@@ -14,7 +15,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.sources.session import constant_frame
+from zonalis.sources.session import constant_frame, shared_folder
 
 MANIFEST = "part int, folder string, format string, parts int"
 
@@ -105,6 +106,22 @@ def remove_old(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     return gone
 
 
+def remove_stages(spark: SparkSession, older_than: dt.timedelta = dt.timedelta(days=2)) -> list[str]:
+    """Remove intermediate results of this library from the shared folder that were begun before ``older_than``.
+
+    Choose a time longer than any job takes; returns the names that left.
+    """
+    folder = f"{shared_folder(spark).rstrip('/')}/stage"
+    fs, place = file_system(spark, folder)
+    if not fs.exists(place):
+        return []
+    limit = (time.time() - older_than.total_seconds()) * 1000
+    old = [s.getPath() for s in fs.listStatus(place) if s.getModificationTime() < limit]
+    for path in old:
+        fs.delete(path, True)
+    return sorted(path.getName() for path in old)
+
+
 # --- tables in key buckets --------------------------------------------------
 
 def bucket_of(key: str, buckets: int):
