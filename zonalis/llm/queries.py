@@ -58,7 +58,7 @@ def op3_bm25_leaks(spark: SparkSession, folder: str) -> DataFrame:
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     place = f"{shared_folder(spark).rstrip('/')}/archives-{uuid.uuid4().hex}"
     warc.write_arc(table(spark, folder, "pages"), f"{place}/arc")
-    warc.write_warc(warc.mark_revisits(warc.convert_arc(spark, f"{place}/arc")), f"{place}/warc")
+    warc.convert_archives(spark, f"{place}/arc", f"{place}/warc")
     records = warc.load_warc(spark, f"{place}/warc")
     responses = records.filter("record_type = 'response'").select(
         F.col("record_id").alias("refers_to_record"), F.col("page_id").alias("refers_to")).distinct()
