@@ -34,6 +34,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-dig
 FIRST_DATE = datetime(2000, 1, 1, tzinfo=UTC)
 OUT_BYTES = 8 << 20
 ARCHIVE_RECORDS = 2000  # a new archive starts after so many, since a task reads an archive as one value
+GZIP_LEVEL = "BEST_SPEED"
 
 # The version blocks of the ARC format.
 FIELDS = {
@@ -213,6 +214,7 @@ def read_warc(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes
 def _write(records: DataFrame, path: str, rows: int) -> None:
     """Gzip files of ``rows`` rows; the text sink adds the line end that closes a record."""
     (records.select(F.col("record").cast("string").alias("value")).write.option("compression", "gzip")
+     .option("zlib.compress.level", GZIP_LEVEL)
      .option("maxRecordsPerFile", rows).text(path))
 
 
