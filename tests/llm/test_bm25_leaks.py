@@ -1,6 +1,8 @@
 import numpy as np
+import pytest
 
 from zonalis.llm import bm25_leaks as L
+from zonalis.llm import queries
 
 
 def items(n=70, seed=2):
@@ -10,7 +12,9 @@ def items(n=70, seed=2):
             for i in range(n)]
 
 
-def test_search_finds_all_above_the_threshold():
+@pytest.mark.parametrize("entries", [L.ENTRIES, 50])
+def test_search_finds_all_above_the_threshold(monkeypatch, entries):
+    monkeypatch.setattr(L, "ENTRIES", entries)
     given = items()
     freq = {}
     for _, t in given:
@@ -55,6 +59,10 @@ def test_slices_agree(spark, monkeypatch):
     whole = sorted(map(tuple, L.leaks(df, bench).collect()))
     monkeypatch.setattr(L, "INDEX_BYTES", 2000)
     assert sorted(map(tuple, L.leaks(df, bench).collect())) == whole and len(whole) >= 60
+    clean = spark.createDataFrame([(None, "w1 w2", 1), (7, None, 2), (7, "", 3), (8, "other words", 4)],
+                                  "doc_id long, text string, score int")
+    mixed = clean.union(df.withColumn("score", df["doc_id"].cast("int")))
+    assert sorted(map(repr, L.without_leaks(mixed, bench).collect())) == sorted(map(repr, clean.collect()))
 
 
 def test_items_without_an_id_are_found(spark):
@@ -63,3 +71,39 @@ def test_items_without_an_id_are_found(spark):
     df = spark.createDataFrame([(1, given[4][1]), (2, given[5][1]), (3, given[0][1])], "doc_id long, text string")
     got = sorted(((r.doc_id, r.item_id) for r in L.leaks(df, bench).collect()))
     assert got == [(1, None), (2, None), (3, 0)]
+
+
+def plain(docs, given):
+    """Every window scored with every item by the plain formula, then verified: (document, item, score)."""
+    mean = np.mean([len(L.words_of(t)) for _, t in given])
+    holders = {}
+    for _, t in given:
+        for w in set(L.words_of(t)):
+            holders[w] = holders.get(w, 0) + 1
+    stride = max(L.STRIDE, max(len(L.words_of(t)) for _, t in given))
+    out = []
+    for d, text in docs:
+        words = L.words_of(text)
+        windows = [words[s:s + 2 * stride] for s in range(0, max(1, len(words) - stride), stride)]
+        sets = [set(w) for w in windows]
+        for i, t in given:
+            mine = L.words_of(t)
+            norm = L.K1 * (1 - L.B + L.B * len(mine) / mean)
+            weight = {w: np.log(1 + (len(given) - holders[w] + 0.5) / (holders[w] + 0.5)) * mine.count(w) * (L.K1 + 1)
+                      / (mine.count(w) + norm) for w in set(mine)}
+            own = sum(weight.values())
+            question, answer = map(L.grams_of, L.question_and_answer(t))
+            found = [score for window, there in zip(windows, sets)
+                     if (score := sum(weight[w] for w in weight.keys() & there) / own) >= L.THRESHOLD - 1e-9
+                     and min(L.share_found(question, window), L.share_found(answer, window)) >= L.OVERLAP]
+            if found:
+                out.append((d, i, round(max(found), 6)))
+    return sorted(out)
+
+
+def test_query_against_plain_formula(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    given = [(r.item_id, r.text) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    got = sorted((r.doc_id, r.item_id, round(r.score, 6)) for r in queries.op3_bm25_leaks(spark, folder).collect())
+    assert got == plain(docs, [(i, t) for i, t in given if L.words_of(t)]) and got

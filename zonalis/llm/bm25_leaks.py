@@ -1,8 +1,9 @@
 """Benchmark decontamination: training passages as queries against a BM25 index of the test items.
 
 An item's term weights are divided by the score the item gives itself, so a passage scores at most 1 with it. Items lie
-in blocks; a term has its largest weight in each block, and a block whose largest weights of the passage's terms do not
-add up to the threshold is never opened. Inside the others block-max WAND moves from one possible item to the next.
+in blocks; a term has its largest weight in each block. The passage's lightest terms, which stay below the
+threshold together, name no block; of the blocks that the others name, those whose largest weights do not add up to the threshold
+are never opened. Inside the rest block-max WAND moves from one possible item to the next.
 What is found counts if question and answer overlap with the passage.
 """
 
@@ -31,6 +32,10 @@ INDEX_BYTES = 16 << 20
 WORD = re.compile(r"\w+")
 SENTENCE_END = re.compile(r"(?<=[.?!])\s+|\n+")
 EPSILON = 1e-9
+LIGHT = 0.5
+ENTRIES = 1 << 21  # numbers handled at once
+WINDOWS = 1 << 11
+WORDS = 1 << 16  # of documents searched together
 
 
 def words_of(text: str | None) -> list[str]:
@@ -63,6 +68,11 @@ def share_found(grams: set[tuple[str, ...]], words: list[str]) -> float:
     return len(grams & there) / len(grams)
 
 
+def _runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... for ``lengths[0]`` numbers, then the next run."""
+    return np.arange(lengths.sum()) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
+
+
 class Index:
     """Postings of one slice of the items with weights by block."""
 
@@ -87,28 +97,75 @@ class Index:
         self.terms = {w: k for k, w in enumerate(postings)}
         self.items = [[i for i, _ in p] for p in postings.values()]
         self.weights = [[x for _, x in p] for p in postings.values()]
-        self.n_blocks = -(-len(items) // BLOCK)
-        self.blocks, self.block_max = [], []  # by term: the blocks it occurs in, its largest weight in each
+        self.n_blocks = max(1, -(-len(items) // BLOCK))
+        # By term: the blocks it occurs in, and its largest weight in each. A term's entries are starts[t]:starts[t + 1].
+        blocks, largest, self.starts = [], [], [0]
         for p in postings.values():
             most: dict[int, float] = {}
             for i, x in p:
                 most[i // BLOCK] = max(most.get(i // BLOCK, 0.0), x)
-            self.blocks.append(np.array(list(most), np.int64))
-            self.block_max.append(np.array(list(most.values())))
-        self.term_max = np.array([m.max() for m in self.block_max] + [0.0])  # the last one: no such term
+            blocks += most
+            largest += most.values()
+            self.starts.append(len(blocks))
+        self.starts = np.array(self.starts, np.int64)
+        self.blocks, self.block_max = np.array(blocks, np.int64), np.array(largest, np.float64)
+        self.keys = np.repeat(np.arange(len(postings)), np.diff(self.starts)) * self.n_blocks + self.blocks
+        self.term_max = np.zeros(len(postings) + 1)  # the last one: no such term
+        if len(postings):
+            self.term_max[:-1] = np.maximum.reduceat(self.block_max, self.starts[:-1])
 
     def search(self, terms: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, float]]:
         """(place of the item, score) of all items that reach the threshold with these distinct terms."""
-        out: list[tuple[int, float]] = []
-        if not len(terms):
-            return out
-        held = [self.blocks[t] for t in terms]
-        blocks, most = np.concatenate(held), np.concatenate([self.block_max[t] for t in terms])
-        owner = np.repeat(terms, [len(x) for x in held])
-        possible = np.bincount(blocks, most, self.n_blocks)
-        for block in np.flatnonzero(possible >= threshold - EPSILON).tolist():
-            mine = blocks == block
-            out += self._wand(owner[mine].tolist(), most[mine].tolist(), block, threshold - EPSILON)
+        found = self.search_windows(np.zeros(len(terms), np.int64), np.asarray(terms, np.int64), threshold)
+        return [(item, score) for _, item, score in found]
+
+    def search_windows(self, windows: np.ndarray, terms: np.ndarray, threshold: float = THRESHOLD
+                       ) -> list[tuple[int, int, float]]:
+        """(window, place of the item, score) of all items that reach the threshold with the window's distinct terms.
+
+        The lightest terms of a window, up to ``LIGHT`` of the threshold, find nothing alone, so only the blocks of the
+        others are looked at: first with the light ones at their largest anywhere, then, in the blocks left, with
+        their largest there.
+        """
+        threshold -= EPSILON
+        most = self.term_max[terms]
+        order = np.lexsort((most, windows))
+        windows, terms, most = windows[order], terms[order], most[order]
+        if not len(windows):
+            return []
+        names, first = np.unique(windows, return_index=True)
+        counts = np.diff(np.append(first, len(windows)))
+        below = np.cumsum(most)
+        below -= np.repeat(below[first] - most[first], counts)
+        mine = np.repeat(np.arange(len(names)), counts)
+        light = below < LIGHT * threshold
+        spare = np.zeros(len(names))
+        np.maximum.at(spare, mine[light], below[light])
+        heavy = np.flatnonzero(~light)
+        lengths = self.starts[terms[heavy] + 1] - self.starts[terms[heavy]]
+        if lengths.sum() > ENTRIES and len(names) > 1:
+            half = windows < names[len(names) // 2]
+            return [x for part in (half, ~half)
+                    for x in self.search_windows(windows[part], terms[part], threshold + EPSILON)]
+        entries = _runs(self.starts[terms[heavy]], lengths)
+        pairs, at = np.unique(np.repeat(mine[heavy], lengths) * self.n_blocks + self.blocks[entries], return_inverse=True)
+        sums = np.bincount(at, self.block_max[entries], len(pairs))
+        pairs = pairs[sums + spare[pairs // self.n_blocks] >= threshold - EPSILON]
+        out: list[tuple[int, int, float]] = []
+        step = max(1, ENTRIES // int(counts.max()))
+        for start in range(0, len(pairs), step):
+            window, block = np.divmod(pairs[start:start + step], self.n_blocks)
+            places = _runs(first[window], counts[window])
+            wanted = terms[places] * self.n_blocks + np.repeat(block, counts[window])
+            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            most = np.where(self.keys[at] == wanted, self.block_max[at], 0.0)
+            ends = np.cumsum(counts[window])
+            bound = np.bincount(np.repeat(np.arange(len(window)), counts[window]), most, len(window))
+            for k in np.flatnonzero(bound >= threshold).tolist():
+                part = slice(int(ends[k] - counts[window[k]]), int(ends[k]))
+                there = most[part] > 0
+                out += ((int(names[window[k]]), item, score) for item, score in self._wand(
+                    terms[places[part]][there].tolist(), most[part][there].tolist(), int(block[k]), threshold))
         return out
 
     def _wand(self, terms: list[int], largest: list[float], block: int, threshold: float) -> list[tuple[int, float]]:
@@ -204,16 +261,33 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     return out
 
 
+def without_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                  item_text_col: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+    """The rows of ``docs`` into which no item leaks, with all columns; ids play no part. No shuffle."""
+    spark = docs.sparkSession
+    for index in build_indexes(items, item_col, item_text_col):
+        shared = spark.sparkContext.broadcast(index)
+        docs = docs.mapInArrow(lean(_filter(shared, docs.columns.index(text_col), threshold, overlap)), docs.schema)
+    return docs
+
+
+def _filter(shared, text: int, threshold: float, overlap: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = _leaks_of(shared.value, batch.column(text), threshold, overlap)
+            yield batch.filter(pa.array([not x for x in found], pa.bool_()))
+
+    return run
+
+
 def _searcher(shared, threshold: float, overlap: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index: Index = shared.value
         for batch in batches:
             rows: list[tuple] = []
             at: list[int] = []
-            for i in range(batch.num_rows):
-                for row in _document(index, words_of(batch.column(1)[i].as_py()), threshold, overlap):
-                    rows.append(row)
-                    at.append(i)
+            for k, found in enumerate(_leaks_of(shared.value, batch.column(1), threshold, overlap)):
+                rows += found
+                at += [k] * len(found)
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(at, pa.int64())), pa.array(columns[0], pa.int64()),
@@ -223,28 +297,48 @@ def _searcher(shared, threshold: float, overlap: float):
     return run
 
 
-def _document(index: Index, words: list[str], threshold: float, overlap: float) -> list[tuple]:
+def _leaks_of(index: Index, texts: pa.Array, threshold: float, overlap: float) -> Iterator[list[tuple]]:
+    """The leaks of each text, searched in groups of about ``WORDS`` words."""
+    held: list[list[str]] = []
+    size = 0
+    for text in texts:
+        held.append(words_of(text.as_py()))
+        size += len(held[-1])
+        if size >= WORDS:
+            yield from _documents(index, held, threshold, overlap)
+            held, size = [], 0
+    if held:
+        yield from _documents(index, held, threshold, overlap)
+
+
+def _documents(index: Index, texts: list[list[str]], threshold: float, overlap: float) -> list[list[tuple]]:
+    """The leaks of each of several documents, given as words; windows of all of them are searched together."""
     none = len(index.terms)
-    terms = np.fromiter(map(index.terms.get, words, repeat(none)), np.int64, len(words))
-    most = index.term_max[terms]
-    if most.sum() < threshold - EPSILON:
-        return []
+    codes = np.concatenate([np.fromiter(map(index.terms.get, w, repeat(none)), np.int64, len(w)) for w in texts])
+    sizes = np.array([len(w) for w in texts], np.int64)
+    ends = np.cumsum(sizes)
     stride = max(STRIDE, index.longest)
-    sums = np.concatenate(([0.0], np.cumsum(most)))
-    starts = np.arange(0, max(1, len(words) - stride), stride)
-    ends = np.minimum(starts + 2 * stride, len(words))
-    best: dict[int, tuple] = {}
+    counts = np.maximum(1, -(-(sizes - stride) // stride))
+    owner = np.repeat(np.arange(len(texts)), counts)
+    begins = (ends - sizes)[owner] + stride * _runs(np.zeros(len(texts), np.int64), counts)
+    stops = np.minimum(begins + 2 * stride, ends[owner])
+    sums = np.concatenate(([0.0], np.cumsum(index.term_max[codes])))
     # A word that occurs twice counts twice here: the bound is only looser for it.
-    for k in np.flatnonzero(sums[ends] - sums[starts] >= threshold - 1e-6).tolist():
-        window = slice(int(starts[k]), int(ends[k]))
-        distinct = np.unique(terms[window])
-        distinct = distinct[distinct < none]
-        if index.term_max[distinct].sum() < threshold - EPSILON:
-            continue
-        for item, score in index.search(distinct, threshold):
-            question = share_found(index.questions[item], words[window])
-            answer = share_found(index.answers[item], words[window])
+    possible = np.flatnonzero(sums[stops] - sums[begins] >= threshold - 1e-6)
+    best: list[dict[int, tuple]] = [{} for _ in texts]
+    for start in range(0, len(possible), WINDOWS):
+        part = possible[start:start + WINDOWS]
+        lengths = stops[part] - begins[part]
+        terms, windows = codes[_runs(begins[part], lengths)], np.repeat(part, lengths)
+        known = terms < none
+        windows, terms = np.divmod(np.unique(windows[known] * max(none, 1) + terms[known]), max(none, 1))
+        for window, item, score in index.search_windows(windows, terms, threshold):
+            k = int(owner[window])
+            base = int(ends[k] - sizes[k])
+            words = texts[k][int(begins[window]) - base:int(stops[window]) - base]
+            question = share_found(index.questions[item], words)
+            answer = share_found(index.answers[item], words)
             if question >= overlap and answer >= overlap:
                 row = (round(score, 9), question, answer)
-                best[item] = max(best.get(item, row), row)
-    return [(index.ids[item], *row) for item, row in sorted(best.items())]
+                best[k][item] = max(best[k].get(item, row), row)
+    return [[(index.ids[item], *row) for item, row in sorted(found.items())] for found in best]

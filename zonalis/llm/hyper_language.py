@@ -142,28 +142,52 @@ def predict_languages(df: DataFrame, prototypes: dict[str, np.ndarray], id_col:
     A null text, a text without a letter, or no prototypes at all give ``und`` and 0. Ties go to the language first in
     the alphabet. Null or repeated ids are carried through. No shuffle; only id and text are read.
     """
-    names = list(prototypes)
-    table = np.stack(list(prototypes.values())).T if names else np.zeros((DIMENSIONS, 0))
+    predicted = _predictor(prototypes)
     id_type = dict(df.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 part = batch.slice(start, TEXTS_AT_ONCE)
-                sums = bundle([gram_counts(t.as_py()) for t in part.column(1)])
-                norms = np.linalg.norm(sums, axis=1)
-                langs, scores = [UNKNOWN] * part.num_rows, np.zeros(part.num_rows)
-                if names:
-                    cosines = np.round((sums @ table) / np.where(norms, norms, 1)[:, None], 9)
-                    best = cosines.argmax(axis=1)
-                    scores = np.where(norms > 0, np.clip(cosines.max(axis=1), 0, 1), 0.0)
-                    langs = [names[b] if n > 0 else UNKNOWN for b, n in zip(best, norms, strict=True)]
+                langs, scores = predicted(part.column(1))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(langs), pa.array(scores)], names=[id_col, "lang_pred", "score"])
 
     return df.select(id_col, text_col).mapInArrow(lean(run), f"`{id_col}` {id_type}, lang_pred string, score double")
 
 
+def in_learned_languages(df: DataFrame, prototypes: dict[str, np.ndarray], floor: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text has a letter and scores at least ``floor``, with all columns. No shuffle."""
+    predicted, text = _predictor(prototypes), df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(start, TEXTS_AT_ONCE)
+                langs, scores = predicted(part.column(text))
+                yield part.filter(pa.array([x != UNKNOWN and s >= floor for x, s in zip(langs, scores, strict=True)],
+                                           pa.bool_()))
+
+    return df.mapInArrow(lean(run), df.schema)
+
+
+def _predictor(prototypes: dict[str, np.ndarray]):
+    """A function from a few texts to their languages and scores."""
+    names = list(prototypes)
+    table = np.stack(list(prototypes.values())).T if names else np.zeros((DIMENSIONS, 0))
+
+    def predicted(texts: pa.Array) -> tuple[list[str], np.ndarray]:
+        sums = bundle([gram_counts(t.as_py()) for t in texts])
+        norms = np.linalg.norm(sums, axis=1)
+        if not names:
+            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+        cosines = np.round((sums @ table) / np.where(norms, norms, 1)[:, None], 9)
+        scores = np.where(norms > 0, np.clip(cosines.max(axis=1), 0, 1), 0.0)
+        return [names[b] if n > 0 else UNKNOWN for b, n in zip(cosines.argmax(axis=1), norms, strict=True)], scores
+
+    return predicted
+
+
 def score_floor(df: DataFrame, totals: dict[str, np.ndarray], text_col: str = "text", lang_col: str = "lang") -> float:
     """The lowest score of all rows with a language and a letter, each scored without its own part in ``totals``.
 
