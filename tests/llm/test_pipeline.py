@@ -82,3 +82,20 @@ def test_language_rejects_by_score_and_passes_all_without_labels(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 4, 5]
     bare = docs.withColumn("lang", docs["lang"].substr(1, 0)).replace("", None, "lang")
     assert sorted(map(tuple, corpus_pipeline.language(spark, bare, FOLDER).collect())) == sorted(map(tuple, bare.collect()))
+
+
+def test_near_copies_keeps_one_row_of_repeats(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
+    rows = [(2, "a b c d e f g", "en", "s", 13), (2, "a b c d e f g", "en", "s", 13), (1, "x y", "en", "s", 3),
+            (None, "p q", "en", "s", 3), (None, "p q", "en", "s", 3), (None, None, "en", "s", 0), (5, "A B c d e f g", "en", "s", 13),
+            (7, "one", "en", "s", 3), (7, "two", "en", "s", 3)]
+    got = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, docs.schema), FOLDER).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted(
+        [(2, "a b c d e f g"), (1, "x y"), (None, "p q"), (None, None), (7, "one"), (7, "two")], key=repr)
+
+
+def test_run_on_an_empty_table(spark, tmp_path):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{FOLDER}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
