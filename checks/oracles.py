@@ -683,6 +683,13 @@ SELECT segment_id, regla, categoria, label, color, weight, nombre_via,
     "road_all_matches": """
 SELECT segment_id, regla, round(x, 6) AS lng, round(y, 6) AS lat FROM cruces""",
     "road_summary": "SELECT label, count(*) AS segmentos FROM clasificadas GROUP BY 1",
+    "road_rule_hits": """
+SELECT r.*, count(c.regla) AS segmentos FROM (VALUES
+  (0, 'principal', 'Vías principales', 'Red Widget'), (1, 'principal', 'Vías principales', 'old gear'),
+  (2, 'principal', 'Vías principales', 'Hot Plate'), (3, 'anillo', 'Anillos', 'Ring'), (4, 'anillo', 'Anillos', 'gizmo'),
+  (5, 'resto', 'Otras vías', 'small'), (6, 'resto', 'Otras vías', 'Red Widget'), (7, 'resto', 'Otras vías', 'new bolt'),
+  (8, 'ninguna', 'Ninguna', 'no such way')) r(regla, categoria, label, nombre_via)
+LEFT JOIN cruces c ON c.regla = r.regla GROUP BY ALL""",
     "segment_bounds": """
 SELECT segment_id, min(lng) AS lng_min, max(lng) AS lng_max, min(lat) AS lat_min, max(lat) AS lat_max
 FROM pts GROUP BY 1""",

@@ -396,6 +396,12 @@ def road_all_matches(spark, sf):
                           F.round(centre["lat"], 6).alias("lat"))
 
 
+def road_rule_hits(spark, sf):
+    categories = (*ROADS, RoadCategory("ninguna", "Ninguna", "#000000", 1, (RoadRule("no such way"),)))
+    matches = roads.match_rules(roads.with_names(fx.segments(spark, sf)), categories)
+    return roads.rule_hits(matches, categories)
+
+
 def road_summary(spark, sf):
     return roads.road_summary(roads.classify(fx.segments(spark, sf), ROADS))
 
@@ -612,6 +618,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "road_rule_match": road_rule_match,
     "road_all_matches": road_all_matches,
     "road_summary": road_summary,
+    "road_rule_hits": road_rule_hits,
     "segment_bounds": segment_bounds,
     "segment_name_count": segment_name_count,
     "impute_clamp": impute_clamp,

@@ -34,6 +34,14 @@ def test_one_class_per_geometry(spark):
     assert rows(result.classified, "segment_id", "regla", "nombre_via") == [
         (1, 0, "Avenida Irala"), (3, 1, "Anillo"), (4, 3, "Plaza"), (8, 0, "Avenida Irala")]
     assert rows(result.summary) == [("Dos", 1), ("Uno", 3)]
+    assert rows(result.hits, "regla", "nombre_via", "segmentos") == [
+        (0, "Avenida Irala", 3), (1, "Anillo", 2), (2, "AVENIDA IRALA", 3), (3, "Plaza", 1)]
+
+
+def test_rules_without_segments(spark):
+    none = (RoadCategory("tres", "Tres", "#3", 1, (RoadRule("Nowhere"),)),)
+    result = classify_roads(spark.createDataFrame(DATA, DDL.format("string")), none)
+    assert rows(result.hits) == [(0, "tres", "Tres", "Nowhere", 0)] and result.summary.count() == 0
 
 
 def test_list_names_are_not_split(spark):

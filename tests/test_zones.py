@@ -1,8 +1,9 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from zonalis.operators import clustering, hull, zones
+from zonalis.operators import clustering, hull, lookups, zones
 from zonalis.operators.medians import exact_medians
 from tests.conftest import rows
 
@@ -46,6 +47,38 @@ def test_nearest_of_all_in_several_arrays(points, cents, monkeypatch):
     assert rows(zones.assign_nearest(points, cents, by=()), "id", "cluster_zona") == want
 
 
+@pytest.mark.parametrize("bound", [zones.BROADCAST_ROWS, 10])
+def test_grid_equals_plain_search(spark, monkeypatch, bound):
+    monkeypatch.setattr(zones, "GRID_FROM", 0)
+    monkeypatch.setattr(lookups.broadcast_if_small, "__kwdefaults__", {"at_most": None, "bound": bound})
+    rng = np.random.default_rng(5)
+    # Whole numbers: exact ties. A dense patch, a wide field, repeated places, places far from all others.
+    cents = np.concatenate([rng.integers(0, 30, (300, 2)), rng.integers(-500, 500, (300, 2)), [[90_000, 90_000], [7, 7], [7, 7]]])
+    spots = np.concatenate([rng.integers(-5, 35, (400, 2)), rng.integers(-600, 600, (400, 2)) + 0.5,
+                            [[90_001, 90_000], [1e9, -1e9], [-40_000, 3], [1e300, 0]]])
+    frame = spark.createDataFrame([("c", 900 - i, float(a), float(b)) for i, (a, b) in enumerate(cents)],
+                                  "ciudad string, cluster_id int, centroide_lat double, centroide_lng double")
+    points = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(spots)] + [(-1, None, 1.0), (-2, 1.0, None)],
+                                   "id int, latitude double, longitude double")
+    got = dict(rows(zones.assign_nearest(points, frame, by=()), "id", "cluster_zona"))
+    want = {-1: None, -2: None}
+    for i, (a, b) in enumerate(spots):
+        want[i] = min(((a - y) ** 2 + (b - x) ** 2, 900 - k) for k, (y, x) in enumerate(cents))[1]
+    assert got == want
+
+
+def test_many_zones_without_a_city(spark):
+    rng = np.random.default_rng(6)
+    cents, spots = rng.integers(0, 2000, (200_000, 2)), rng.integers(0, 2000, (300, 2)) + rng.choice([0.0, 0.5], (300, 2))
+    frame = spark.createDataFrame(pd.DataFrame({
+        "ciudad": "c", "cluster_id": np.arange(len(cents)), "centroide_lat": cents[:, 0] / 16, "centroide_lng": cents[:, 1] / 16}))
+    points = spark.createDataFrame([(i, float(a) / 16, float(b) / 16) for i, (a, b) in enumerate(spots)],
+                                   "id int, latitude double, longitude double")
+    got = dict(rows(zones.assign_nearest(points, frame, by=()), "id", "cluster_zona"))
+    for i, (a, b) in enumerate(spots):
+        assert got[i] == int((((cents - (a, b)) / 16) ** 2).sum(axis=1).argmin())
+
+
 @pytest.mark.parametrize("by", [("ciudad",), ()])
 def test_nearest_without_centroids(spark, points, by):
     none = spark.createDataFrame([], CENTS)

@@ -83,6 +83,14 @@ def classify(segments: DataFrame, categories: Iterable[RoadCategory] = config.RO
     return first_rule_per_geometry(matches, geom, segment)
 
 
+def rule_hits(matches: DataFrame, categories: Iterable[RoadCategory] = config.ROAD_CATEGORIES) -> DataFrame:
+    """Segments that each rule matched, whatever class they end in; rules without a segment have 0."""
+    hits = matches.groupBy("regla").agg(F.count("*").alias("segmentos"))
+    rules = rule_frame(matches.sparkSession, categories).select("regla", "categoria", "label", "nombre_via")
+    return rules.join(F.broadcast(hits), "regla", "left").withColumn(  # at most one row a rule
+        "segmentos", F.coalesce("segmentos", F.lit(0)).cast("long"))
+
+
 def road_summary(classified: DataFrame) -> DataFrame:
     return classified.groupBy("label").agg(F.count("*").alias("segmentos"))
 

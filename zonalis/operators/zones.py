@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,9 +14,13 @@ from zonalis.functions.prices import relative_difference
 from zonalis.functions.values import null_if_zero
 from zonalis.operators.lookups import (BROADCAST_ROWS, broadcast_if_small, lookup_join,
                                        row_count_up_to)
+from zonalis.sources.session import staged
 
-# Without a city all centroids are compared, in arrays of at most this many.
+# Arrays of centroids compared at once hold about this many at most.
 CENTROIDS_PER_ARRAY = 20_000
+# Without a city more centroids than this are looked up by grid cells, this wide for evenly spread ones.
+GRID_FROM = 256
+CELL = 2.0
 # Without a broadcast the points of a city are spread over this many parts.
 CITY_PARTS = 64
 
@@ -67,20 +72,82 @@ def assign_nearest(points: DataFrame, centroids: DataFrame, by: Sequence[str] =
 
 def _assign_global(points: DataFrame, centroids: DataFrame, lat: str, lng: str,
                    out: str) -> DataFrame:
-    total = centroids.count()
-    if not total:
+    """The nearest of all centroids: by grid cells if they are many, else all in arrays.
+
+    A cell knows the centroids of its own and the eight cells around it. If the nearest of them is less than a cell
+    away, no other can be as near; the points left look again in cells four times as wide. Points still left when a
+    cell would hold too many centroids, those far from all of them, are compared with all.
+    """
+    places = centroids.groupBy(F.col("centroide_lat").cast("double").alias("lat"),
+                               F.col("centroide_lng").cast("double").alias("lng")).agg(
+        F.min(F.col("cluster_id").cast("int")).alias("id")).dropna()
+    n, *ends = places.agg(F.count("*"), *(f(c) for c in ("lat", "lng") for f in (
+        lambda c: F.percentile_approx(c, 0.02), lambda c: F.percentile_approx(c, 0.98), F.min, F.max))).first()
+    if not n:
         return points.withColumn(out, F.lit(None).cast("int"))
-    parts = range(-(-total // CENTROIDS_PER_ARRAY))
-    part = F.pmod(F.xxhash64("cluster_id", "centroide_lat", "centroide_lng"), F.lit(len(parts)))
-    arrays = {f"_cents{i}": _arrays(centroids.filter(part == i)).scalar() for i in parts}
-    measured = points.withColumns(arrays).withColumns(
-        {f"_d{i}": _distances(lat, lng, f"_cents{i}") for i in parts})
-    if len(parts) == 1:
-        return measured.select(*points.columns, _nearest_id("_cents0", "_d0").alias(out))
-    nearest = [F.when(F.array_min(f"_d{i}").isNotNull(), F.struct(
-        F.array_min(f"_d{i}").alias("d"), _nearest_id(f"_cents{i}", f"_d{i}").alias("id")))
-        for i in parts]
-    return measured.select(*points.columns, F.least(*nearest)["id"].alias(out))
+    if n <= GRID_FROM:
+        return _against_all(points, places, n, lat, lng, out)
+
+    places = staged(places, "centroids")
+    inner = max(ends[1] - ends[0], ends[5] - ends[4])
+    outer = max(ends[3] - ends[2], ends[7] - ends[6])
+    size = CELL * max(inner, outer * 1e-6) / n ** 0.5 or 1.0
+    done, left = [], points
+    while True:
+        spread = _spread(places, size)
+        if spread.groupBy("_y", "_x").count().agg(F.max("count")).first()[0] > CENTROIDS_PER_ARRAY:
+            break
+        cells = staged(spread.groupBy("_y", "_x").agg(
+            F.array_sort(F.collect_list(F.struct("id", "lat", "lng"))).alias("_cents")), "centroid-cells")
+        found = staged(_in_cells(left, cells, size, 9 * n, lat, lng, out), "nearest")
+        done.append(found.filter("_found").drop("_found"))
+        left = found.filter(~F.col("_found")).select(*points.columns)
+        if size > outer or left.isEmpty():
+            break
+        size *= 4
+    if not left.isEmpty():
+        done.append(_against_all(left, places, n, lat, lng, out))
+    return reduce(DataFrame.union, done)
+
+
+def _cell(column: Column, size: float) -> Column:
+    return F.floor(column.cast("double") / size)
+
+
+def _spread(places: DataFrame, size: float) -> DataFrame:
+    """Every centroid once for each of the nine cells that know it."""
+    around = F.sequence(F.lit(-1).cast("long"), F.lit(1).cast("long"))
+    return (places.withColumn("_dy", F.explode(around)).withColumn("_dx", F.explode(around))
+            .select("id", "lat", "lng", (_cell(F.col("lat"), size) + F.col("_dy")).alias("_y"),
+                    (_cell(F.col("lng"), size) + F.col("_dx")).alias("_x")))
+
+
+def _in_cells(points: DataFrame, cells: DataFrame, size: float, entries: int, lat: str, lng: str,
+              out: str) -> DataFrame:
+    """``out`` and ``_found``: whether it is certain, which it also is without coordinates."""
+    keyed = points.withColumns({"_y": _cell(F.col(lat), size), "_x": _cell(F.col(lng), size)})
+    measured = keyed.join(broadcast_if_small(cells, at_most=entries), ["_y", "_x"], "left").withColumn(
+        "_d", _distances(lat, lng, "_cents"))
+    near = F.coalesce(F.array_min("_d") < (size * (1 - 1e-9)) ** 2, F.lit(False))
+    return measured.select(*points.columns, F.when(near, _nearest_id("_cents", "_d")).alias(out),
+                           (near | F.col(lat).isNull() | F.col(lng).isNull()).alias("_found"))
+
+
+def _against_all(points: DataFrame, places: DataFrame, n: int, lat: str, lng: str, out: str) -> DataFrame:
+    """Every centroid against every point, array by array; an array is broadcast, its size is bounded."""
+    parts = -(-n // CENTROIDS_PER_ARRAY)
+    arrays = places.groupBy(F.pmod(F.xxhash64("id", "lat", "lng"), F.lit(parts)).cast("int").alias("_part")).agg(
+        F.array_sort(F.collect_list(F.struct("id", "lat", "lng"))).alias("_cents"))
+    if parts > 1:
+        arrays = staged(arrays, "centroid-arrays")
+    measured = points.withColumn("_best", F.lit(None).cast("struct<d:double,id:int>"))
+    for i in range(parts):
+        one = F.broadcast(arrays.filter(F.col("_part") == i))
+        nearest = F.when(F.array_min("_d").isNotNull(), F.struct(F.array_min("_d").alias("d"), _nearest_id("_cents", "_d").alias("id")))
+        measured = (measured.withColumn("_part", F.lit(i)).join(one, "_part", "left")
+                    .withColumn("_d", _distances(lat, lng, "_cents"))
+                    .select(*points.columns, F.least("_best", nearest).alias("_best")))
+    return measured.select(*points.columns, F.col("_best.id").alias(out))
 
 
 def centroid_bbox(centroids: DataFrame, margin: float = config.BBOX_MARGIN) -> DataFrame:

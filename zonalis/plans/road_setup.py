@@ -17,9 +17,12 @@ from zonalis.sources.session import staged
 class Roads:
     classified: DataFrame
     summary: DataFrame
+    hits: DataFrame
 
 
 def classify_roads(segments: DataFrame,
                    categories: Iterable[RoadCategory] = config.ROAD_CATEGORIES) -> Roads:
-    classified = staged(roads.classify(segments, categories), "roads")
-    return Roads(classified, roads.road_summary(classified))
+    categories = list(categories)
+    matches = staged(roads.match_rules(roads.with_names(segments), categories), "road-matches")
+    classified = staged(roads.first_rule_per_geometry(matches), "roads")
+    return Roads(classified, roads.road_summary(classified), roads.rule_hits(matches, categories))
