@@ -1,6 +1,9 @@
 import hashlib
+import random
 from collections import defaultdict
 
+import pytest
+
 from zonalis.llm import line_chunks as L
 
 
@@ -71,7 +74,8 @@ def brute_runs(rows):
         sum(i - 1 not in gone[d, t] for i in gone[d, t]), len(gone[d, t])) for d, t in rows), key=repr)
 
 
-def test_every_repeated_run_of_two_lines_goes(spark):
+@pytest.mark.parametrize("dedup", [L.dedup_line_runs, L.dedup_line_passages])
+def test_every_repeated_run_of_two_lines_goes(spark, dedup):
     own = lambda k, n: "\n".join(f"own {k} {i}" for i in range(n))
     rows = [(None, "x\ny\nz"), (0, None), (1, ""), (2, "one"), (3, "one"), (4, "a\na\na"), (5, "b\nb\nb\nb\nb"),
             (6, "c\nd\nc\nd\nc\nd"), (7, "q\nx\ny\nr"), (7, "q\ny\nx\nr"), (8, own(8, 2000)), (8, own(8, 2000)),
@@ -81,10 +85,22 @@ def test_every_repeated_run_of_two_lines_goes(spark):
         rows += [(100 + m, f"{own(m, 3)}\n{passage}\n{own(-m, 2)}"), (200 + m, f"head {m}\n{passage}\ntail {m}"),
                  (300 + m, f"{passage}\nhead {m}\nno\n{passage}")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = sorted((tuple(r) for r in L.dedup_line_runs(df.repartition(5)).collect()), key=repr)
+    got = sorted((tuple(r) for r in dedup(df.repartition(5)).collect()), key=repr)
     assert got == brute_runs(rows)
     cut = {d: (t, n) for d, t, _, n in got}
     assert all(cut[200 + m] == (f"head {m}\ntail {m}", m) for m in range(2, 20))
-    kept = L.dedup_line_runs(df, carry=df.columns)
+    kept = dedup(df, carry=df.columns)
     assert kept.select("carried.*").columns == df.columns
-    assert L.dedup_line_runs(df.limit(0)).count() == 0
+    assert dedup(df.limit(0)).count() == 0
+
+
+def test_passages_equal_runs_whatever_the_chunks(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, *range(40)]), "\n".join(rng.choice("abcdef") * rng.choice([0, 1, 1, 2]) for _ in range(
+        rng.choice([1, 2, 3, 10, 40])))) for _ in range(120)]
+    block = "\n".join(f"long {i}" for i in range(60))
+    rows += [(1000 + i, f"{block}\nend {i}") for i in range(300)] + [(None, None), (7, "")]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, no int")
+    for divisor in (1, 3, 50):
+        got = sorted((tuple(r) for r in L.dedup_line_passages(df.repartition(5), divisor=divisor).collect()), key=repr)
+        assert got == brute_runs(rows)

@@ -4,7 +4,9 @@ The lines of a text are hashed; a rolling hash over the last lines' hashes decid
 depend on the lines around them and not on their place in the text. A chunk of several lines that occurs more than once
 in the corpus stays where it occurs first and is removed elsewhere.
 
-Chunks only find passages with boundaries inside them; ``dedup_line_runs`` finds every repeated run of two or more lines.
+``dedup_line_chunks`` finds only passages with boundaries inside them; ``dedup_line_passages`` cuts what its chunks leave
+again at every line and so finds every repeated run of two or more lines. ``dedup_line_runs`` has the same result from
+pairs of lines alone.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zonalis.sources.session import staged
+
 WINDOW = 2
 DIVISOR = 3
 MIN_LINES = 2
@@ -48,13 +52,16 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def chunked(text: Column, window: int = WINDOW, divisor: int = DIVISOR) -> Column:
-    """Array of (no, n_lines, chunk) of a text; joined with line ends they give the text again. Null for a null text."""
+def chunked(text: Column, window: int = WINDOW, divisor: int = DIVISOR, by_line: bool = False) -> Column:
+    """Array of (no, n_lines, chunk) of a text; joined with line ends they give the text again. Null for a null text.
+
+    ``no`` counts chunks, or with ``by_line`` is the number of the chunk's first line; both from 0.
+    """
 
     def cut(lines: Column, ends: Column) -> Column:
         def one(end: Column, k: Column) -> Column:
             start = F.when(k == 0, 0).otherwise(F.get(ends, k - 1))
-            return F.struct(k.alias("no"), (end - start).alias("n_lines"),
+            return F.struct((start if by_line else k).alias("no"), (end - start).alias("n_lines"),
                             F.array_join(F.slice(lines, start + 1, end - start), "\n").alias("chunk"))
 
         return F.transform(ends, one)
@@ -136,45 +143,105 @@ def dedup_line_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                      F.struct(*(carry or [F.lit(None).cast("int").alias("none")])).alias("carried"),
                      F.xxhash64(text_col).alias("text_key"))
+    place = F.struct(F.col("id"), F.col("text_key"), F.col("no"))
+    often = (_exploded(docs, F.xxhash64).groupBy("key").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+             .filter(~F.col("low").eqNullSafe(F.col("high"))).select("key"))
+    return _without_pairs(docs, _again(docs, often), id_col, carry)
+
+
+def _exploded(docs: DataFrame, key) -> DataFrame:
+    return docs.select("id", "text_key", F.explode(line_pairs(F.col("text"), key)).alias("p")).select(
+        "id", "text_key", "p.no", "p.key")
 
-    def exploded(key) -> DataFrame:
-        return docs.select("id", "text_key", F.explode(line_pairs(F.col("text"), key)).alias("p")).select(
-            "id", "text_key", "p.no", "p.key")
 
+def _again(docs: DataFrame, often: DataFrame) -> DataFrame:
+    """(id, text_key, no) of the pairs of lines, among those with a key in ``often``, that stand at an earlier place."""
     # Lines hold no line end, so joined pairs differ if their lines do.
     digest = lambda a, b: F.struct(F.xxhash64(a, b).alias("low"),
                                    F.unhex(F.sha2(F.concat(a, F.lit("\n"), b), 256)).alias("sha"))
     place = F.struct(F.col("id"), F.col("text_key"), F.col("no"))
-    often = (exploded(F.xxhash64).groupBy("key").agg(F.min(place).alias("low"), F.max(place).alias("high"))
-             .filter(~F.col("low").eqNullSafe(F.col("high"))).select("key"))
-    candidates = (exploded(digest).select("id", "text_key", "no", F.col("key.low").alias("key"), "key.sha")
+    candidates = (_exploded(docs, digest).select("id", "text_key", "no", F.col("key.low").alias("key"), "key.sha")
                   .join(often, "key", "left_semi").drop("key"))
     first = candidates.groupBy("sha").agg(F.min(place).alias("first"))
     same_text = F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.text_key") == F.col("text_key"))
-    again = (candidates.join(first, "sha").filter(~(same_text & (F.col("no") - F.col("first.no") < 2)))
-             .groupBy(F.col("id").alias("of_id"), F.col("text_key").alias("of_key"))
-             .agg(F.sort_array(F.collect_set("no")).alias("found")))
-    joined = docs.join(again, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("text_key") == F.col("of_key")), "left")
+    return (candidates.join(first, "sha").filter(~(same_text & (F.col("no") - F.col("first.no") < 2)))
+            .select("id", "text_key", "no"))
+
+
+def _pair_runs(found: Column) -> Column:
+    """(start, end) of the runs that adjacent or overlapping pairs of lines cover; ``found`` is sorted."""
+    starts = F.filter(found, lambda x, k: (k == 0) | (F.get(found, k - 1) < x - 2))
+    ends = F.filter(found, lambda x, k: (k == F.size(found) - 1) | (F.get(found, k + 1) > x + 2))
+    return F.zip_with(starts, ends, lambda s, e: F.struct(s.alias("start"), (e + 2).alias("end")))
+
 
-    def runs(found: Column) -> Column:
-        starts = F.filter(found, lambda x, k: (k == 0) | (F.get(found, k - 1) < x - 2))
-        ends = F.filter(found, lambda x, k: (k == F.size(found) - 1) | (F.get(found, k + 1) > x + 2))
-        return F.zip_with(starts, ends, lambda s, e: F.struct(s.alias("start"), (e + 2).alias("end")))
+def _outside(lines: Column, gone: Column) -> Column:
+    def before(k: Column) -> Column:
+        start = F.when(k == 0, 0).otherwise(F.get(gone, k - 1)["end"])
+        end = F.when(k == F.size(gone), F.size(lines)).otherwise(F.get(gone, k)["start"])
+        return F.slice(lines, start + 1, end - start)
 
-    def outside(lines: Column, gone: Column) -> Column:
-        def before(k: Column) -> Column:
-            start = F.when(k == 0, 0).otherwise(F.get(gone, k - 1)["end"])
-            end = F.when(k == F.size(gone), F.size(lines)).otherwise(F.get(gone, k)["start"])
-            return F.slice(lines, start + 1, end - start)
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), before))
 
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), before))
 
+def _without_pairs(docs: DataFrame, again: DataFrame, id_col: str, carry: Sequence[str]) -> DataFrame:
+    """``docs`` without the lines of the pairs in ``again`` (id, text_key, no)."""
+    by_text = (again.groupBy(F.col("id").alias("of_id"), F.col("text_key").alias("of_key"))
+               .agg(F.sort_array(F.collect_set("no")).alias("found")))
+    joined = docs.join(by_text, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("text_key") == F.col("of_key")), "left")
     touched = F.col("found").isNotNull()
     kept = _let(F.split("text", "\n", -1), lambda lines: F.array_join(_let(
-        runs(F.col("found")), lambda gone: outside(lines, gone)), "\n"))
-    n_lines = F.aggregate(runs(F.col("found")), F.lit(0), lambda a, r: a + r["end"] - r["start"])
+        _pair_runs(F.col("found")), lambda gone: _outside(lines, gone)), "\n"))
+    n_lines = F.aggregate(_pair_runs(F.col("found")), F.lit(0), lambda a, r: a + r["end"] - r["start"])
     out = joined.select(
         F.col("id").alias(id_col), F.when(touched, kept).otherwise(F.col("text")).alias("kept_text"),
-        F.when(touched, F.size(runs(F.col("found")))).otherwise(0).cast("long").alias("n_removed"),
+        F.when(touched, F.size(_pair_runs(F.col("found")))).otherwise(0).cast("long").alias("n_removed"),
         F.when(touched, n_lines).otherwise(0).cast("long").alias("removed_lines"), "carried")
     return out if carry else out.drop("carried")
+
+
+def dedup_line_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
+                        divisor: int = DIVISOR, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per row of ``df``: the id, ``kept_text``, ``n_removed`` runs, ``removed_lines``, and ``carried`` as above.
+
+    Content-defined chunks at two sizes. Chunks between rolling-hash boundaries that occur more than once are found
+    first and compared as bytes; all but the first go. What they leave, the ends of passages and passages without two
+    boundaries inside, is cut again at the finest size, two adjacent lines at every line, and compared by SHA-256. So a
+    matched passage grows line by line to its ends, and the rule is that of ``dedup_line_runs``: a line goes if it lies
+    in two or more adjacent lines that also stand at an earlier place, apart from them. A removed chunk has an earlier
+    copy, so the first place of every pair of lines is outside all removed chunks and is still there to compare with.
+
+    Rows of the same id and text are one document; null ids come first; a null text stays null, an empty one empty; a
+    text of one line never goes. If all lines go, the text is empty.
+    """
+    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                     F.struct(*(carry or [F.lit(None).cast("int").alias("none")])).alias("carried"),
+                     F.xxhash64(text_col).alias("text_key"))
+    place = F.struct(F.col("id"), F.col("text_key"), F.col("no"))
+
+    def seen_twice(parts: DataFrame) -> DataFrame:
+        return (parts.groupBy("key").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+                .filter(~F.col("low").eqNullSafe(F.col("high"))).select("key"))
+
+    parts = (docs.select("id", "text_key", F.explode(chunked(F.col("text"), window, divisor, by_line=True)).alias("c"))
+             .select("id", "text_key", "c.no", "c.n_lines", "c.chunk").filter(F.col("n_lines") >= MIN_LINES)
+             .withColumn("key", F.xxhash64("chunk")))
+    twice = parts.join(seen_twice(parts), "key", "left_semi").select("id", "text_key", "no", "n_lines", "chunk")
+    first_chunk = twice.groupBy("chunk").agg(F.min(place).alias("first"))
+    copies = staged(twice.join(first_chunk, "chunk").filter(~place.eqNullSafe(F.col("first")))
+                    .select("id", "text_key", "no", "n_lines"), "line-chunks")
+    coarse = copies.select("id", "text_key", F.explode(
+        F.sequence(F.col("no"), F.col("no") + F.col("n_lines") - 2)).alias("no"))
+
+    # The finest cut, of what the chunks leave: one hash a line beside the numbers of the pairs that are gone already.
+    gone = (copies.groupBy(F.col("id").alias("of_id"), F.col("text_key").alias("of_key")).agg(F.sort_array(F.flatten(
+        F.collect_set(F.sequence(F.col("no"), F.col("no") + F.col("n_lines") - 2)))).alias("gone")))
+    hashes = docs.filter(F.col("text").contains("\n")).select("id", "text_key", F.transform(
+        line_pairs(F.col("text"), F.xxhash64), lambda p: p["key"]).alias("keys"))
+    same_document = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("text_key") == F.col("of_key"))
+    fresh = F.when(F.col("gone").isNull(), F.sequence(F.lit(0), F.size("keys") - 1)).otherwise(
+        F.array_except(F.sequence(F.lit(0), F.size("keys") - 1), "gone"))
+    left = (hashes.join(gone, same_document, "left").select("id", "text_key", "keys", F.explode(fresh).alias("no"))
+            .select("id", "text_key", "no", F.get("keys", F.col("no")).alias("key")))
+    again = _again(docs, seen_twice(left))
+    return _without_pairs(docs, coarse.union(again), id_col, carry)

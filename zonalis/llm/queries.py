@@ -43,6 +43,10 @@ def op1_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
                         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_line_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return line_chunks.dedup_line_passages(table(spark, folder, "documents"))
+
+
 def op2_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return line_chunks.dedup_line_chunks(table(spark, folder, "documents"))
 
@@ -118,6 +122,7 @@ def op13_covering_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_suffix_repeats": op1_suffix_repeats,
+    "op2_line_passages": op2_line_passages,
     "op2_line_chunks": op2_line_chunks,
     "op2_line_runs": op2_line_runs,
     "op3_bm25_leaks": op3_bm25_leaks,
@@ -201,3 +206,4 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id, text ORDER BY
                      AS rank FROM scores WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
+ORACLES["op2_line_passages"] = ORACLES["op2_line_runs"]  # the rule is the same, the way is not
