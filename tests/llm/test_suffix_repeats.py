@@ -49,6 +49,11 @@ def test_empty_table(spark):
     assert S.repeated_spans(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_table_of_short_texts(spark):
+    rows = [(1, ""), (2, None), (3, "short"), (4, "short")]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute(rows)
+
+
 def test_intervals_of_a_small_array():
     assert sorted(S.intervals(np.array([0, 3, 3, 1, 2]))) == [(1, 0, 4, 0), (2, 3, 4, 1), (3, 0, 2, 1)]
 

@@ -73,6 +73,12 @@ def test_empty_table(spark):
     assert J.ngram_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_table_without_a_word(spark):
+    rows = [(1, ""), (2, None), (3, " "), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert rows_of(J.ngram_components(df)) == brute(rows)
+
+
 def test_trie_finds_every_component():
     rng = np.random.default_rng(9)
     for _ in range(40):

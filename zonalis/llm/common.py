@@ -126,8 +126,8 @@ def pack(block: int, hashes: np.ndarray, counts: np.ndarray, buckets: int) -> pa
     bucket = bucket_of(hashes, buckets)
     order = np.argsort(bucket, kind="stable")
     bucket, low, counts = bucket[order], (hashes[order] & np.uint64(0xFFFFFFFF)).astype("<u4"), counts[order]
-    starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.empty(0, int)
-    ends = np.append(starts[1:], len(bucket))
+    starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))[:len(bucket)])
+    ends = np.append(starts[1:], len(bucket))[:len(starts)]
     return pa.RecordBatch.from_arrays([
         pa.array(bucket[starts].astype(np.int32)), pa.array(np.full(len(starts), block, np.int32)),
         pa.array([low[s:e].tobytes() for s, e in zip(starts, ends, strict=True)], pa.binary()),
