@@ -7,7 +7,7 @@ import public_tokenizers as P
 import tiktoken
 
 import corpus_pipeline
-from tests.llm.test_line_chunks import brute as brute_lines
+from tests.llm.test_line_chunks import brute_runs as brute_lines
 from tests.llm.test_trie_join import brute as brute_groups
 from zonalis.llm import bm25_leaks as L
 from zonalis.llm.byte_bpe import load_ranks
