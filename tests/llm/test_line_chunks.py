@@ -104,3 +104,16 @@ def test_passages_equal_runs_whatever_the_chunks(spark):
     for divisor in (1, 3, 50):
         got = sorted((tuple(r) for r in L.dedup_line_passages(df.repartition(5), divisor=divisor).collect()), key=repr)
         assert got == brute_runs(rows)
+
+
+def test_passages_shuffle_digests_not_chunks(spark, monkeypatch):
+    """The chunks' texts meet by digest: no column holds them on the way to the joins."""
+    seen = []
+    monkeypatch.setattr(L, "staged", lambda df, name: seen.append(df) or df)
+    rng = random.Random(6)  # one text per id, so that the order of documents is the order of ids
+    rows = [(i, "\n".join(rng.choice("abcdef") * rng.choice([0, 1, 1, 2]) for _ in range(rng.choice([1, 2, 3, 10, 40]))))
+            for i in range(60)] + [(None, "a\nb\nab\nc"), (99, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in L.dedup_line_passages(df.repartition(5)).collect()), key=repr)
+    assert got == brute_runs(rows)
+    assert "chunk#" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()

@@ -205,7 +205,7 @@ def dedup_line_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     """One row per row of ``df``: the id, ``kept_text``, ``n_removed`` runs, ``removed_lines``, and ``carried`` as above.
 
     Content-defined chunks at two sizes. Chunks between rolling-hash boundaries that occur more than once are found
-    first and compared as bytes; all but the first go. What they leave, the ends of passages and passages without two
+    first and compared by SHA-256; all but the first go. What they leave, the ends of passages and passages without two
     boundaries inside, is cut again at the finest size, two adjacent lines at every line, and compared by SHA-256. So a
     matched passage grows line by line to its ends, and the rule is that of ``dedup_line_runs``: a line goes if it lies
     in two or more adjacent lines that also stand at an earlier place, apart from them. A removed chunk has an earlier
@@ -223,12 +223,14 @@ def dedup_line_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "
         return (parts.groupBy("key").agg(F.min(place).alias("low"), F.max(place).alias("high"))
                 .filter(~F.col("low").eqNullSafe(F.col("high"))).select("key"))
 
+    # Digests in place of the chunks' texts: the texts themselves are shuffled once, at the end.
     parts = (docs.select("id", "text_key", F.explode(chunked(F.col("text"), window, divisor, by_line=True)).alias("c"))
-             .select("id", "text_key", "c.no", "c.n_lines", "c.chunk").filter(F.col("n_lines") >= MIN_LINES)
-             .withColumn("key", F.xxhash64("chunk")))
-    twice = parts.join(seen_twice(parts), "key", "left_semi").select("id", "text_key", "no", "n_lines", "chunk")
-    first_chunk = twice.groupBy("chunk").agg(F.min(place).alias("first"))
-    copies = staged(twice.join(first_chunk, "chunk").filter(~place.eqNullSafe(F.col("first")))
+             .filter(F.col("c.n_lines") >= MIN_LINES)
+             .select("id", "text_key", "c.no", "c.n_lines", F.xxhash64("c.chunk").alias("key"),
+                     F.unhex(F.sha2("c.chunk", 256)).alias("sha")))
+    twice = parts.join(seen_twice(parts.drop("sha")), "key", "left_semi").drop("key")
+    first_chunk = twice.groupBy("sha").agg(F.min(place).alias("first"))
+    copies = staged(twice.join(first_chunk, "sha").filter(~place.eqNullSafe(F.col("first")))
                     .select("id", "text_key", "no", "n_lines"), "line-chunks")
     coarse = copies.select("id", "text_key", F.explode(
         F.sequence(F.col("no"), F.col("no") + F.col("n_lines") - 2)).alias("no"))
