@@ -33,3 +33,12 @@ def test_held_out_accuracy(spark):
     long = [r for r in rows if len(r.text) > 40]
     assert sum(r.lang_pred == r.lang for r in long) >= 0.97 * len(long)
     assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_texts_like_no_language_fall_below_the_floor(spark):
+    words = "the weather was fine and children went to river with their friends in morning".split()
+    rows = [(i, " ".join(words[(i * j) % len(words)] for j in range(1, 12)), "en") for i in range(200)]
+    df = spark.createDataFrame([*rows, (900, "ωψ", "en"), (901, "the river", "en")], "doc_id long, text string, lang string")
+    totals = H.fit_totals(df)
+    kept = H.in_learned_languages(df, H.unit(totals), H.score_floor(df, totals))
+    assert {r.doc_id for r in df.collect()} - {r.doc_id for r in kept.collect()} == {900}

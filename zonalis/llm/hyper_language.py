@@ -22,6 +22,7 @@ GRAM = 3
 SEED = 1
 UNKNOWN = "und"
 ROUNDING = 1e-8  # scores of one text in two batches agree within it
+CHANCE = 3 / DIMENSIONS ** 0.5  # three standard deviations of the cosine of two unrelated vectors
 MAX_LANGUAGES = 5000
 TEXTS_AT_ONCE = 128
 GRAMS_AT_ONCE = 8192
@@ -191,8 +192,9 @@ def _predictor(prototypes: dict[str, np.ndarray]):
 def score_floor(df: DataFrame, totals: dict[str, np.ndarray], text_col: str = "text", lang_col: str = "lang") -> float:
     """The lowest score of all rows with a language and a letter, each scored without its own part in ``totals``.
 
-    With its own part a text scores no lower, so every labelled text reaches the floor. The only text of a language
-    has nothing left to be scored with and does not count; 0 if no row counts.
+    Scores up to ``CHANCE`` count as it: such a text is like no language more than a random vector is, whatever its label
+    says, and falls below the floor. With its own part a text scores no lower, so every other labelled text reaches
+    it. The only text of a language has nothing left to be scored with and does not count; ``CHANCE`` if no row counts.
     """
     names = list(totals)
     table = np.stack(list(totals.values())).T if names else np.zeros((DIMENSIONS, 0))
@@ -218,4 +220,4 @@ def score_floor(df: DataFrame, totals: dict[str, np.ndarray], text_col: str = "t
 
     labelled = df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).dropna()
     lowest = labelled.mapInArrow(lean(run), "score double").agg(F.min("score")).first()[0]
-    return 0.0 if lowest is None else lowest - ROUNDING
+    return CHANCE if lowest is None else max(lowest - ROUNDING, CHANCE)
