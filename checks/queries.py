@@ -533,7 +533,7 @@ BROKEN_CITY = "NATION_2"
 
 def extract_parts(spark, sf):
     """The extract part by part while one city cannot be read: rows per part, and the error of the parts that failed."""
-    read = extract.listing_part(fx.crm(spark, sf), fx.YEARS)
+    read = extract.listing_part(fx.crm(spark, sf), fx.YEARS, fx.CITIES)
 
     def part(city, deal):
         if city.name == BROKEN_CITY:

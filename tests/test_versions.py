@@ -157,3 +157,26 @@ def test_stages_leave_by_age(spark):
     fs.setTimes(place, 1000, 1000)
     assert versions.remove_stages(spark, dt.timedelta(days=1)) == [old]
     assert old not in versions.listed(spark, f"{versions.shared_folder(spark)}/stage")
+
+
+def test_parts_of_listings_join_the_tables_once(spark, monkeypatch):
+    cities = [City(c, 1, 1, (0.0, 1.0), (0.0, 1.0)) for c in "AB"]
+    deals = [Deal(1, 8, "Venta", "x"), Deal(2, 7, "Alquiler", "y")]
+    calls = []
+
+    def listings(tables, of, types, years):
+        calls.append((len(of), len(types)))
+        if len(calls) == 1:
+            raise OSError("no route")
+        return spark.createDataFrame([(c.name, d.label, i) for c in of for d in types for i in range(3)],
+                                     "ciudad string, tipo_transaccion string, id int")
+
+    monkeypatch.setattr(extract.crm, "extract_listings", listings)
+    read = extract.listing_part({}, (2000,), cities, deals)
+    with pytest.raises(OSError):
+        read(cities[0], deals[0])
+    for c in cities:
+        for d in deals:
+            assert rows(read(c, d)) == [(c.name, d.label, i) for i in range(3)]
+    assert calls == [(2, 2)] * 2
+    assert read(City("C", 1, 1, (0.0, 1.0), (0.0, 1.0)), deals[0]).count() == 3 and calls[-1] == (1, 1)
