@@ -182,10 +182,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Use all cores on a table that comes in one file with one row group.
 
     Such a file is one task. A table in at least as many files as cores is left
-    as it is: reading it needs no shuffle.
+    as it is: reading it needs no shuffle. Rows are dealt to the shuffle tasks
+    of the session, not to the cores, so that a task's share stays small.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    return df.repartition(key) if len(df.inputFiles()) < cores else df
 
 
 _LISTING_TABLES = ("lineitem", "orders", "part", "supplier", "nation", "region")

@@ -193,3 +193,28 @@ def test_clean_of_nothing(spark):
 @pytest.mark.parametrize("n_types,n_deals", [(7, 2)])
 def test_group_bound_of_rules(n_types, n_deals):
     assert CleaningRules().groups == n_types * n_deals
+
+
+def test_flag_last_splits_heavy_keys_only(spark):
+    data = [("a", i % 7, "x" * (i % 3)) for i in range(60)] + [(None, i % 5, "n") for i in range(40)] + [
+        ("b", 1, "p"), ("b", 1, "q"), ("c", None, None)]
+    df = spark.createDataFrame(data, "k string, v int, t string").repartition(3)
+    split, whole = q.flag_last(df, "k", ["v"], hot_rows=10), q.flag_last(df, "k", ["v"])
+    assert rows(split) == rows(whole) and split.filter("es_ultimo").count() == 4
+    assert split.count() == len(data)
+
+
+def test_clean_writes_its_rows_once(spark, monkeypatch):
+    from checks import fixtures as fx
+    from zonalis.plans import cleaning
+    names = []
+    monkeypatch.setattr(cleaning, "staged", lambda df, name, real=cleaning.staged: names.append(name) or real(df, name))
+    done = cleaning.clean(fx.listings(spark, "/root/testdata/sf0.001"))
+    assert names == ["cleaning"]
+    assert sum(r.filas for r in done.counters.collect()) == done.checked.count() > 0
+
+
+def test_line_items_are_dealt_to_shuffle_tasks(spark):
+    from checks import fixtures as fx
+    plan = fx.tables(spark, "/root/testdata/sf0.001", "lineitem")["lineitem"]._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan

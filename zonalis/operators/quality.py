@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from zonalis import config
 from zonalis.operators.lookups import lookup_join
-from zonalis.sources.session import constant_frame, shuffle_parts, staged
+from zonalis.sources.session import constant_frame, shuffle_parts, small_checkpoint, staged
 
+HOT_ROWS = 100_000  # a key with no more rows is ranked in one task
 REJECT_COLUMNS = ("id_propiedad", "mlsid", "subtipo_original", "tipo_propiedad",
                   "segmento", "tipo_transaccion")
 
@@ -38,31 +39,35 @@ def _latest_first(df: DataFrame, key: str, latest_by: Sequence[str]) -> list[Col
     return [F.col(c).desc_nulls_last() for c in (*latest_by, *ties)]
 
 
-def flag_last(df: DataFrame, key: str, latest_by: Sequence[str], flag: str = "es_ultimo") -> DataFrame:
+def flag_last(df: DataFrame, key: str, latest_by: Sequence[str], flag: str = "es_ultimo",
+              hot_rows: int = HOT_ROWS) -> DataFrame:
     """Mark the latest row of every key; rows without a key count as one key.
 
     Latest is decided by ``latest_by`` (nulls first), then by all other columns,
-    so the choice does not depend on the order of the input. Identical rows are
-    counted first, which shrinks them within their task. The different rows of
-    a key are spread over as many parts as there are shuffle tasks: each part
-    names its best, and the key's best is chosen among these. The ranked rows
-    are written once, so the input is read once.
+    so the choice does not depend on the order of the input; of identical rows
+    one is marked. The rows are written once and shuffled once, by key. Keys
+    with more than ``hot_rows`` rows and more than a task's share are fewer than
+    the shuffle tasks: every task names its best row of these, and their rows
+    are marked where they stand.
     """
     order = _latest_first(df, key, latest_by)
-    parts = shuffle_parts(df.sparkSession)
+    rows = staged(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    limit = max(hot_rows, rows.count() // shuffle_parts(df.sparkSession))
+    hot = F.broadcast(small_checkpoint(rows.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_n"))
+                                       .filter(F.col("_n") > limit).select("_hot")))
+    is_hot = F.col(key).eqNullSafe(F.col("_hot"))
 
-    def best_in(*by: str) -> Column:
-        return F.row_number().over(Window.partitionBy(*by).orderBy(*order)) == 1
+    def ranked(part: DataFrame) -> DataFrame:
+        first = F.row_number().over(Window.partitionBy(key).orderBy(*order)) == 1
+        return part.withColumn(flag, first).select(*df.columns, flag)
 
-    part = F.pmod(F.xxhash64(*df.columns), F.lit(parts))
-    ranked = staged(df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
-                    .withColumn("_part", part)
-                    .withColumn(flag, best_in(key, "_part")).drop("_part"), "ranked")
-    beaten = ranked.filter(~F.col(flag))
-    best = ranked.filter(F.col(flag)).withColumn(flag, best_in(key))
-    copy = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
-    return (beaten.unionByName(best).withColumn("_copy", copy)
-            .withColumn(flag, F.col(flag) & (F.col("_copy") == 1)).select(*df.columns, flag))
+    if hot.isEmpty():
+        return ranked(rows)
+    heavy = rows.join(hot, is_hot, "left_semi")
+    best = F.broadcast(small_checkpoint(keep_last(heavy, key, latest_by).select(
+        F.col(key).alias("_hot"), F.col("_row").alias("_best"))))
+    marked = heavy.join(best, is_hot).withColumn(flag, F.col("_row") == F.col("_best"))
+    return ranked(rows.join(hot, is_hot, "left_anti")).unionByName(marked.select(*df.columns, flag))
 
 
 def keep_last(df: DataFrame, key: str, latest_by: Sequence[str]) -> DataFrame:
@@ -133,7 +138,7 @@ def group_spread(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
 def flag_outliers(df: DataFrame, value: str, keys: Sequence[str], flag: str = "es_atipico", *,
                   among: Column | None = None, at_most: int | None = None,
                   sigmas: float = config.OUTLIER_SIGMAS,
-                  min_values: int = config.OUTLIER_MIN_VALUES) -> DataFrame:
+                  min_values: int = config.OUTLIER_MIN_VALUES, written: bool = False) -> DataFrame:
     """Mark values further than ``sigmas`` standard deviations from the group mean.
 
     Groups with too few values or without spread mark nothing, nor does a null
@@ -147,6 +152,7 @@ def flag_outliers(df: DataFrame, value: str, keys: Sequence[str], flag: str = "e
               .select(*keys,
                       (F.col("media") - sigmas * F.col("desv")).alias("_low"),
                       (F.col("media") + sigmas * F.col("desv")).alias("_high")))
+    spread = small_checkpoint(spread) if written else spread
     outside = ~F.col(value).between(F.col("_low"), F.col("_high"))
     return (lookup_join(df, spread, keys, at_most=at_most)
             .withColumn(flag, F.coalesce(outside, F.lit(False)))

@@ -56,7 +56,8 @@ def clean(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Cleaned:
 
     The row-wise checks are one pass. Their result is written once, because the
     two outlier steps need statistics over the survivors of the step before:
-    each is one aggregation over three or four columns of the written frame. The result is written as well.
+    each is one aggregation over three or four columns of the written frame, kept as limits by group. The result is
+    one scan of that frame.
     """
     source = missing_to_null(raw)
     flagged = q.flag_last(source, "id_propiedad", rules.latest_by)
@@ -84,7 +85,7 @@ def clean(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Cleaned:
 
     def outlier_step(df: DataFrame, value: str, step: str, reason: str) -> DataFrame:
         marked = q.flag_outliers(df, value, keys, "_out", among=alive, at_most=rules.groups,
-                                 sigmas=rules.sigmas, min_values=rules.min_values)
+                                 sigmas=rules.sigmas, min_values=rules.min_values, written=True)
         hit = (F.col("paso") == "conservado") & F.col("_out")
         return marked.withColumns({
             "motivos": F.when(hit, F.array(F.lit(reason))).otherwise(F.col("motivos")),
@@ -103,5 +104,5 @@ def clean(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Cleaned:
         "paso": F.when(low, F.lit("precio_minimo"))
                  .when(other_deal, F.lit("otra_transaccion")).otherwise(F.col("paso")),
     }).drop("_below")
-    # Written once: kept rows, rejects, reports and counters read this frame and repeat no outlier statistics.
-    return Cleaned(staged(checked, "checked"))
+    # Kept rows, rejects, reports and counters read the written frame and repeat no outlier statistics.
+    return Cleaned(checked)
