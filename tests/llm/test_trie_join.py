@@ -96,6 +96,19 @@ def test_trie_finds_every_component():
         assert len({*zip(parent, roots.tolist(), strict=True)}) == len(set(parent)) == len(set(roots.tolist()))
 
 
+def test_a_set_meets_only_sets_with_its_rare_grams(monkeypatch):
+    """One gram that all sets share does not make every set walk past every other one."""
+    rng = np.random.default_rng(5)
+    base = [np.unique(np.append(rng.integers(2, 1 << 60, 30, np.int64), 1)).astype(np.uint64) for _ in range(150)]
+    sets = [s for b in base for s in (b, b[:-1])]
+    seen = []
+    entered = np.count_nonzero
+    monkeypatch.setattr(J.np, "count_nonzero", lambda x: seen.append(1) or entered(x))
+    links, roots = J.trie_join(sets)
+    assert len(links) == 150 and all(roots[2 * i] == roots[2 * i + 1] for i in range(150)) and len(set(roots.tolist())) == 150
+    assert len(seen) < 10 * len(sets)
+
+
 def test_words_do_not_depend_on_batches():
     texts = ["a b c d e f", "", "B c D", None, "a b c d e f"] * 50
     alone = [J.shingle_sets([t])[0].tolist() for t in texts]

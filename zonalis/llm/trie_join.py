@@ -3,8 +3,8 @@
 Sets that cannot have a partner leave first: a partner at similarity t holds at least t of a set's n-grams, so of any
 part of the set at most (1 - t) of the whole may occur nowhere else. The rest are cut into cells: sets that share one of
 their rarest n-grams, in one global order, directly or through others. A cell's sets, stored in one order, form a
-trie. A set walks it carrying its overlap with the path so far, which all sets below share, and leaves a branch when
-even all that remains cannot reach the threshold.
+trie. A set walks the branches that lead to a set with one of its rarest n-grams, carrying its overlap with the path so
+far, which all sets below share, and leaves a branch when even all that remains cannot reach the threshold.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ NEED = (80, 100)  # similarity as a fraction of whole numbers
 EARLY = 0.4  # share of a set, lowest hashes first, that the first filter looks at
 CELL_TOKENS = 2_000_000
 CHUNK_BYTES = 1 << 20
+BLOCKS_PER_BUCKET = 4  # every block sends a row to every bucket of hashes, so their number counts twice
 
 # The white space between words.
 SPACE = np.zeros(256, bool)
@@ -113,14 +114,16 @@ def linked(overlap: int, a: int, b: int, need: tuple[int, int] = NEED) -> bool:
 
 
 class _Node:
-    __slots__ = ("tokens", "depth", "children", "members", "shortest", "longest", "one")
+    __slots__ = ("tokens", "depth", "parent", "children", "members", "shortest", "longest", "asked", "picked")
 
     def __init__(self, tokens: np.ndarray, depth: int):
         self.tokens, self.depth = tokens, depth
+        self.parent: _Node | None = None
         self.children: list[_Node] = []
         self.members: list[int] = []
         self.shortest, self.longest = sys.maxsize, 0
-        self.one = -1  # a member, once all sets below are known to be in one component
+        self.asked = 0  # the last walk that had to pass here, and the children it had to enter
+        self.picked: list[_Node] = []
 
 
 def build_trie(sets: list[np.ndarray]) -> _Node:
@@ -154,6 +157,8 @@ def build_trie(sets: list[np.ndarray]) -> _Node:
     while walk:
         node = walk.pop()
         seen.append(node)
+        for child in node.children:
+            child.parent = node
         walk.extend(node.children)
     for node in reversed(seen):
         sizes = [node.depth] if node.members else []
@@ -165,55 +170,99 @@ def build_trie(sets: list[np.ndarray]) -> _Node:
 def trie_join(sets: list[np.ndarray], need: tuple[int, int] = NEED) -> tuple[list[tuple[int, int]], np.ndarray]:
     """Links between positions that connect all linked sets, and the component of each.
 
-    A branch whose sets are all in the walking set's component already is not entered again.
+    Two linked sets share one of the rarest n-grams of either, as many as a partner may miss and one more. A set enters
+    only the branches that lead to such a set of another component, so its way does not grow with the number of sets.
     """
     tokens, at, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     number = np.empty(len(tokens), np.int32)
     number[np.lexsort((tokens, -counts))] = np.arange(len(tokens), dtype=np.int32)
     cuts = np.cumsum([len(s) for s in sets])[:-1]
     sets = [np.sort(x) for x in np.split(number[at], cuts)]
-    parent = list(range(len(sets)))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
+    sizes = np.array([len(s) for s in sets], np.int64)
+    root = build_trie(sets)
+    home: dict[int, _Node] = {}
+    walk = [root]
+    while walk:
+        node = walk.pop()
+        home.update((m, node) for m in node.members)
+        walk.extend(node.children)
 
+    part = np.arange(len(sets))
+    parts: dict[int, list[int]] = {}
     links: list[tuple[int, int]] = []
-    root = build_trie(sets)
+
+    def link(a: int, b: int) -> None:
+        links.append((a, b))
+        small, large = sorted((int(part[a]), int(part[b])), key=lambda x: len(parts.get(x, [x])))
+        moved = parts.pop(small, [small])
+        part[moved] = large
+        parts.setdefault(large, [large]).extend(moved)
+
     mine = np.zeros(len(tokens), bool)
-    for q, query in enumerate(sets):
-        mine[query] = True
+
+    def visit(q: int, query: np.ndarray, others: list[int]) -> None:
+        """Walk the branches that lead to ``others``."""
+        nonlocal turn
+        turn += 1
+        for m in others:
+            node, below = home[m], None
+            while node is not None and node.asked != turn:
+                node.asked, node.picked = turn, [below] if below else []
+                node, below = node.parent, node
+            if node is not None and below is not None:
+                node.picked.append(below)
         size = len(query)
-        path: list[tuple[_Node, int, bool]] = [(root, 0, False)]
+        path: list[tuple[_Node, int]] = [(root, 0)]
         while path:
-            node, overlap, done = path.pop()
-            if done:
-                ones = node.members[:1] + [c.one for c in node.children]
-                if min(ones) >= 0 and len({find(x) for x in ones}) == 1:
-                    node.one = ones[0]
-                continue
-            if node.one >= 0 and find(node.one) == find(q):
-                continue
+            node, overlap = path.pop()
             if len(node.tokens):
                 overlap += int(np.count_nonzero(mine[node.tokens]))
-                left = size - int(np.searchsorted(query, node.tokens[-1], "right"))
+                left = size - int(query.searchsorted(node.tokens[-1], "right"))
                 best = min(max(node.depth + left, node.shortest), node.longest)
                 most = overlap + min(best - node.depth, left)
                 if (need[0] + need[1]) * most < need[0] * (size + best):
                     continue
-            for m in node.members[:1]:  # all members of a node are equal sets
-                for other in node.members[1:]:
-                    if find(other) != find(m):
-                        links.append((m, other))
-                        parent[find(other)] = find(m)
-                if find(m) != find(q) and linked(overlap, size, node.depth, need):
-                    links.append((q, m))
-                    parent[find(m)] = find(q)
-            path.append((node, overlap, True))
-            path.extend((c, overlap, False) for c in node.children)
+            for m in node.members[:1]:
+                if part[m] != part[q] and linked(overlap, size, node.depth, need):
+                    link(q, m)
+            for child in node.picked:
+                path.append((child, overlap))
+
+    turn = 0
+    # Sets by their rare tokens, in ascending order for each token.
+    rare = [s[len(s) - may_miss(len(s), need) - 1:] if len(s) else s for s in sets]
+    lengths = np.array([len(r) for r in rare])
+    ends = np.cumsum(lengths)
+    flat = np.concatenate(rare)
+    order = np.argsort(flat, kind="stable")
+    owner = np.repeat(np.arange(len(sets)), lengths)[order]
+    first = np.searchsorted(flat[order], flat)  # of the token's sets
+    own = np.empty(len(flat), np.int64)
+    own[order] = np.arange(len(flat))
+    for q, query in enumerate(sets):
+        if home[q].members[0] != q:  # all members of a node are equal sets
+            link(home[q].members[0], q)
+            continue
+        size = len(query)
+        spans = slice(ends[q] - lengths[q], ends[q])
+        met = [owner[a:b] for a, b in zip(first[spans].tolist(), own[spans].tolist(), strict=True) if a < b]
+        if not met:
+            continue
+        met = np.concatenate(met)
+        met = met[part[met] != part[q]]
+        met = met[need[1] * np.minimum(sizes[met], size) >= need[0] * np.maximum(sizes[met], size)]
+        if not len(met):
+            continue
+        mine[query] = True
+        # Those with most in common first: a link ends the search among all others of that component.
+        rest, common = np.unique(met, return_counts=True)
+        rest, most_first = rest[np.argsort(-common, kind="stable")], 1
+        while len(rest):
+            visit(q, query, rest[:most_first].tolist())
+            rest = rest[most_first:]
+            rest, most_first = rest[part[rest] != part[q]], 4 * most_first
         mine[query] = False
-    return links, np.array([find(i) for i in range(len(sets))], np.int64)
+    return links, part
 
 
 def ngram_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -230,7 +279,8 @@ def ngram_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     documents that pass, and their rare n-grams. Cells above ``CELL_TOKENS`` are cut into parts that meet in pairs.
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    docs, n = in_blocks(rows.filter("id is not null"), "id", "text")
+    docs, blocks = in_blocks(rows.filter("id is not null"), "id", "text")
+    n = max(1, blocks // BLOCKS_PER_BUCKET)
 
     def early(s: np.ndarray) -> np.ndarray:
         return s[:max(may_miss(len(s), need) + 1, int(len(s) * EARLY))]
