@@ -218,3 +218,15 @@ def test_line_items_are_dealt_to_shuffle_tasks(spark):
     from checks import fixtures as fx
     plan = fx.tables(spark, "/root/testdata/sf0.001", "lineitem")["lineitem"]._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_COL" in plan
+
+
+def test_staging_leaves_no_shuffle_files(spark, monkeypatch):
+    """Shuffles of a written frame go with the write, and the session's setting is as before."""
+    from zonalis.sources import session
+    seen = []
+    writer = type(spark.range(1).write)
+    real = writer.parquet
+    monkeypatch.setattr(writer, "parquet", lambda self, *a, **k: seen.append(spark.conf.get(session.SHUFFLES_GO)) or real(self, *a, **k))
+    before = spark.conf.get(session.SHUFFLES_GO)
+    assert session.staged(spark.range(9).repartition(3, "id"), "probe").count() == 9
+    assert seen == ["true"] and spark.conf.get(session.SHUFFLES_GO) == before

@@ -17,6 +17,7 @@ from zonalis import config
 from zonalis.operators.lookups import lookup_join
 from zonalis.sources.session import constant_frame, shuffle_parts, small_checkpoint, staged
 
+LITERAL_GROUPS = 200  # limits of so many groups are written into the expression
 HOT_ROWS = 100_000  # a key with no more rows is ranked in one task
 REJECT_COLUMNS = ("id_propiedad", "mlsid", "subtipo_original", "tipo_propiedad",
                   "segmento", "tipo_transaccion")
@@ -144,7 +145,8 @@ def flag_outliers(df: DataFrame, value: str, keys: Sequence[str], flag: str = "e
     Groups with too few values or without spread mark nothing, nor does a null
     value. Only rows where ``among`` holds count for the statistics. The
     statistics are one partial aggregation and a small join: with few, large
-    groups a window would put all rows into a few tasks.
+    groups a window would put all rows into a few tasks. With ``written`` they are computed at once, and the
+    limits of few groups (``at_most``) are part of the expression: nothing is joined.
     """
     counted = df if among is None else df.filter(among)
     spread = (group_spread(counted, value, keys)
@@ -152,6 +154,12 @@ def flag_outliers(df: DataFrame, value: str, keys: Sequence[str], flag: str = "e
               .select(*keys,
                       (F.col("media") - sigmas * F.col("desv")).alias("_low"),
                       (F.col("media") + sigmas * F.col("desv")).alias("_high")))
+    if written and at_most is not None and at_most <= LITERAL_GROUPS:
+        limits = [reduce(lambda a, b: a & b, [F.col(k) == r[k] for k in keys])
+                  & ~F.col(value).between(F.lit(r["_low"]), F.lit(r["_high"]))
+                  for r in spread.collect() if None not in [r[k] for k in keys]]
+        return df.withColumn(flag, F.coalesce(*[F.when(hit, F.lit(True)) for hit in limits], F.lit(False))
+                             ).select(*df.columns, flag)
     spread = small_checkpoint(spread) if written else spread
     outside = ~F.col(value).between(F.col("_low"), F.col("_high"))
     return (lookup_join(df, spread, keys, at_most=at_most)
@@ -164,12 +172,10 @@ def flag_outliers(df: DataFrame, value: str, keys: Sequence[str], flag: str = "e
 def flag_below_floor(df: DataFrame, floors: Mapping[str, Mapping[str, float]],
                      price: str = "precio_publicacion", flag: str = "bajo_minimo") -> DataFrame:
     """Mark prices below the floor of their (transaction, type); no floor or no price passes."""
-    rows = [(deal, kind, float(v)) for deal, kinds in floors.items() for kind, v in kinds.items()]
-    table = constant_frame(df.sparkSession, rows,
-                           "tipo_transaccion string, tipo_propiedad string, _floor double")
-    return (lookup_join(df, table, ["tipo_transaccion", "tipo_propiedad"], at_most=len(rows))
-            .withColumn(flag, F.coalesce(F.col(price) < F.col("_floor"), F.lit(False)))
-            .select(*df.columns, flag))
+    floors_of = [F.when((F.col("tipo_transaccion") == deal) & (F.col("tipo_propiedad") == kind), F.lit(float(v)))
+                 for deal, kinds in floors.items() for kind, v in kinds.items()]
+    floor = F.coalesce(*floors_of, F.lit(None).cast("double"))
+    return df.withColumn(flag, F.coalesce(F.col(price) < floor, F.lit(False))).select(*df.columns, flag)
 
 
 def floor_reason() -> Column:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -44,15 +45,34 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+# Read by Spark when a query begins: its shuffle files go when it ends, not when the driver happens to collect its garbage.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that begin in here leave no shuffle files; nothing reads those of a written frame again."""
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLES_GO)
+        else:
+            spark.conf.set(SHUFFLES_GO, before)
+
+
 def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write a frame once to the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and later passes read only the
-    columns they need. With ``by`` they also read only the values of that
+    columns they need. The shuffle files of the writing are removed. With ``by`` they also read only the values of that
     column they ask for.
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/stage/{name}-{uuid.uuid4().hex}"
-    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    with shuffles_removed(df.sparkSession):
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
